@@ -52,7 +52,10 @@ _DECLARATION = r"<!\[CDATA\[.*?\]\]>|<[!?][^>]*(?:>|\z)"
 _TAG = r"</?[a-zA-Z](?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+>|</?[a-zA-Z/][^>]*(?:>|\z)"
 _MARKUP = f"(?is){_COMMENT}|{_RAW_TEXT}|{_DECLARATION}|{_TAG}"
 _ENTITY = r"&#?[0-9a-zA-Z]{1,32};"
-_AMPERSAND = r"&(?:amp|#0{0,5}38|#[xX]0{0,5}26);"
+_NOT_LONGER = r"(?![0-9a-zA-Z]{0,31};)"
+_AMPERSAND = rf"&(?:(?:amp|#0{{0,5}}38|#[xX]0{{0,5}}26);|amp{_NOT_LONGER})"
+# Names that count without their semicolon, unless they begin a longer name.
+_UNCLOSED = {"lt": "<", "gt": ">", "quot": '"', "nbsp": "\u00a0", "copy": "©", "reg": "®"}
 _FREQUENT = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&nbsp;": "\u00a0"}
 
 
@@ -84,9 +87,13 @@ def _decode_references(text: Column) -> Column:
         found = F.filter(
             F.array_distinct(F.regexp_extract_all(common, F.lit(_ENTITY), F.lit(0))), lambda e: ~e.rlike(_AMPERSAND)
         )
-        return F.reduce(found, common, lambda t, e: F.replace(t, e, _decode_entity(e)))
+        closed = F.reduce(found, common, lambda t, e: F.replace(t, e, _decode_entity(e)))
+        for name, char in _UNCLOSED.items():
+            closed = F.regexp_replace(closed, f"&{name}{_NOT_LONGER}", char)
+        return closed
 
-    others = let(text, lambda t: F.when(t.rlike(f"(?!{_AMPERSAND}){_ENTITY}"), decode_rest(t)).otherwise(t))
+    rare = f"(?!{_AMPERSAND})(?:{_ENTITY}|&(?:{'|'.join(_UNCLOSED)}))"
+    others = let(text, lambda t: F.when(t.rlike(rare), decode_rest(t)).otherwise(t))
     return F.regexp_replace(others, _AMPERSAND, "&")
 
 

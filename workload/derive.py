@@ -176,3 +176,13 @@ SELECT (CASE feed WHEN 'jsearch' THEN '' ELSE feed || '_' END) || k AS job_id,
   k, feed, o_orderdate
 FROM ({FEED}) f
 """
+
+# Companies already on file: those of all regions but one.
+COMPANIES = """
+SELECT DISTINCT lower(c_mktsegment) || n_nationkey || '.example.com' AS domain, c_mktsegment || ' ' || n_name AS name,
+  c_mktsegment AS industry, 10 * n_nationkey + 5 AS employee_count,
+  (CASE WHEN n_nationkey < 10 THEN '1-100' ELSE '101-500' END) AS employee_range,
+  'https://in.example.com/' || n_nationkey AS linkedin_url, 'https://www.example.com/' || n_nationkey AS website_url,
+  n_name AS city, CAST(NULL AS STRING) AS country
+FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey <> 2
+"""

@@ -32,6 +32,7 @@ def clean_html(x: str) -> str:
         r"""|</?[a-z](?:[^>=]+|=\s*"[^"]*"|=\s*'[^']*'|=)*>"""
     )
     text = f"regexp_replace({x}, {quote(markup)}, ' \\1\\2 ', 'g')"
+    text = f"regexp_replace({text}, '&amp([^a-zA-Z0-9;]|$)', '&amp;\\1', 'g')"
     names = ["lt", "gt", "quot", "nbsp", "copy", "middot", "eacute", "rarr", "mdash", "ndash", "hellip", "reg", "euro"]
     for name in names:
         text = f"replace({text}, '&{name};', chr({name2codepoint[name]}))"
@@ -133,23 +134,23 @@ def annual(x: str, period: str = "salary_period_raw") -> str:
 
 
 FEED = f"feed AS ({derive.FEED})"
-BRONZE = f"bronze AS ({derive.BRONZE})"
+BRONZE = f"bronze AS MATERIALIZED ({derive.BRONZE})"
 
 _CITIES = {k: lookups.city_display(k) for k in lookups.CITY_PROVINCES}
 
 SILVER = f"""
 {BRONZE},
-cleaned AS (
+cleaned AS MATERIALIZED (
   SELECT *, {clean_html('job_description_raw')} AS job_description,
     {city('location_city_raw')} AS city0, nullif({province('location_state_raw')}, '') AS state0
   FROM bronze),
 placed AS (SELECT *, coalesce(state0, {city_province('city0')}) AS state1 FROM cleaned),
-scanned AS (
+scanned AS MATERIALIZED (
   SELECT *, (CASE WHEN city0 IS NULL OR state1 IS NULL THEN {text_city('job_description')} END) AS found,
     (CASE WHEN city0 IS NULL OR state1 IS NULL THEN {text_code('job_description')} END) AS found_code,
     {years('job_description')} AS years_experience_min
   FROM placed),
-silver AS (
+silver AS MATERIALIZED (
   SELECT job_id, k, o_orderdate, title_raw AS title, company_name_raw AS company_name,
     {domain("nullif(company_domain_raw, '')")} AS company_domain,
     coalesce(city0, {case_map('found', _CITIES, 'NULL')}) AS location_city,
