@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sluicework import lookups
-from sluicework.functions.lookup import blank_to_null, lookup
+from sluicework.functions.lookup import blank_to_null, let, lookup
 from sluicework.functions.text import strip_accents, strip_space
 
 # --- places ---------------------------------------------------------------------------------------------------------
@@ -17,30 +17,32 @@ from sluicework.functions.text import strip_accents, strip_space
 def normalize_province(state: Column, table: Mapping[str, str] = lookups.PROVINCE_NAMES) -> Column:
     """Canonical province for a name or code; unknown values lose accents and outer space; '' is null."""
     plain = strip_accents(strip_space(blank_to_null(state)))
-    return lookup(F.lower(plain), table, plain)
+    return let(plain, lambda p: lookup(F.lower(p), table, p))
 
 
 def normalize_city(city: Column, aliases: Mapping[str, str | None] = lookups.CITY_ALIASES) -> Column:
     """City without accents, alias resolved (an alias may mean "no city"), trailing "region" removed; '' is null."""
-    plain = strip_accents(strip_space(blank_to_null(city)))
-    key = F.lower(plain)
     known = {k: v for k, v in aliases.items() if v is not None}
-    shortened = blank_to_null(strip_space(F.regexp_replace(plain, r"(?iU)\s+region\s*$", "")))
-    return F.when(key.isin(list(aliases)), lookup(key, known)).otherwise(shortened)
+
+    def resolve(plain: Column) -> Column:
+        shortened = let(strip_space(F.regexp_replace(plain, r"(?iU)\s+region\s*$", "")), blank_to_null)
+        is_alias = F.lower(plain).isin(list(aliases))
+        return F.when(is_alias, lookup(F.lower(plain), known)).otherwise(shortened)
+
+    return let(strip_accents(strip_space(blank_to_null(city))), resolve)
 
 
 def normalize_country(
     country: Column, table: Mapping[str, str] = lookups.COUNTRY_NAMES, default: str = lookups.COUNTRY_DEFAULT
 ) -> Column:
     """Canonical country; the default when missing or blank."""
-    plain = blank_to_null(strip_space(country))
-    return F.coalesce(lookup(F.lower(plain), table, plain), F.lit(default))
+    found = let(strip_space(country), lambda p: lookup(F.lower(p), table, blank_to_null(p)))
+    return F.coalesce(found, F.lit(default))
 
 
 def normalize_employment_type(kind: Column, table: Mapping[str, str] = lookups.EMPLOYMENT_TYPES) -> Column:
     """Canonical employment type; unknown values are only stripped; '' is null."""
-    plain = strip_space(blank_to_null(kind))
-    return lookup(F.lower(plain), table, plain)
+    return let(strip_space(blank_to_null(kind)), lambda p: lookup(F.lower(p), table, p))
 
 
 def province_of_city(city: Column, table: Mapping[str, str] = lookups.CITY_PROVINCES) -> Column:
@@ -50,12 +52,16 @@ def province_of_city(city: Column, table: Mapping[str, str] = lookups.CITY_PROVI
 
 def split_location(text: Column) -> Column:
     """Struct (city, province, country) of "City, Province, Country"; two parts lack the city, one is a country."""
-    parts = F.transform(F.split(blank_to_null(text), ","), strip_space)
-    n = F.size(parts)
-    city = F.when(n >= 3, F.try_element_at(parts, F.lit(1)))
-    province = F.when(n >= 2, F.try_element_at(parts, n - 1))
-    country = F.when(n >= 1, F.try_element_at(parts, n))
-    return F.struct(city.alias("city"), province.alias("province"), country.alias("country"))
+
+
+    def assign(parts: Column) -> Column:
+        n = F.size(parts)
+        city = F.when(n >= 3, F.try_element_at(parts, F.lit(1)))
+        province = F.when(n >= 2, F.try_element_at(parts, n - 1))
+        country = F.when(n >= 1, F.try_element_at(parts, n))
+        return F.struct(city.alias("city"), province.alias("province"), country.alias("country"))
+
+    return let(F.transform(F.split(blank_to_null(text), ","), strip_space), assign)
 
 
 def split_area(area: Column, default_country: str = "Canada") -> Column:
@@ -79,10 +85,8 @@ def parse_amount(text: Column) -> Column:
 
 def parse_salary_range(text: Column) -> Column:
     """Struct (low, high) of "low – high"; one amount gives only ``low``."""
-    parts = F.split(blank_to_null(text), lookups.RANGE_PATTERN, 2)
-    low = parse_amount(F.try_element_at(parts, F.lit(1)))
-    high = parse_amount(F.try_element_at(parts, F.lit(2)))
-    return F.struct(low.alias("low"), high.alias("high"))
+    amounts = F.transform(F.split(blank_to_null(text), lookups.RANGE_PATTERN, 2), parse_amount)
+    return let(amounts, lambda a: F.struct(F.get(a, F.lit(0)).alias("low"), F.get(a, F.lit(1)).alias("high")))
 
 
 def parse_salary_period(text: Column) -> Column:
@@ -120,13 +124,18 @@ def relative_to_timestamp(text: Column, as_of: Column, tz: str = "America/Toront
     The shift is done on microseconds, so it does not depend on the session's time zone.
     """
     pattern = r"(?U)\A(\d+)\s+(second|minute|hour|day|week)s?\s+ago"
-    clean = F.lower(strip_space(text))
-    amount = blank_to_null(F.regexp_extract(clean, pattern, 1)).try_cast("bigint")
-    seconds = F.try_multiply(amount, lookup(F.regexp_extract(clean, pattern, 2), _UNIT_SECONDS).cast("bigint"))
+    first = -62_135_596_800_000_000  # 0001-01-01, the earliest instant a timestamp is meant to hold
     local = F.unix_micros(F.from_utc_timestamp(as_of, tz))
-    first = F.lit(-62_135_596_800_000_000)  # 0001-01-01, the earliest instant a timestamp is meant to hold
-    past = F.try_subtract(local, F.try_multiply(seconds, F.lit(1_000_000)))
-    return F.when(past >= first, F.to_utc_timestamp(F.timestamp_micros(past), tz))
+
+    def shift(clean: Column) -> Column:
+        amount = F.regexp_extract(clean, pattern, 1).try_cast("bigint")
+        unit = lookup(F.regexp_extract(clean, pattern, 2), _UNIT_SECONDS).cast("bigint")
+        return F.try_multiply(F.try_multiply(amount, unit), F.lit(1_000_000))
+
+    def instant(past: Column) -> Column:
+        return F.when(past >= F.lit(first), F.to_utc_timestamp(F.timestamp_micros(past), tz))
+
+    return let(F.try_subtract(local, let(F.lower(strip_space(text)), shift)), instant)
 
 
 def parse_posted_at(text: Column, as_of: Column, tz: str = "America/Toronto") -> Column:
@@ -142,12 +151,14 @@ def parse_posted_at(text: Column, as_of: Column, tz: str = "America/Toronto") ->
 
 def normalize_domain(url: Column) -> Column:
     """Host (with port) of a URL: scheme optional, 'www.' removed, lower case, no outer '/'; null when there is none."""
-    given = blank_to_null(url)
-    full = F.when(given.startswith("http"), given).otherwise(F.concat(F.lit("https://"), given))
-    full = F.regexp_replace(full, r"[\t\r\n]", "")
-    host = F.regexp_extract(full, r"\A(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)", 1)
-    path = F.regexp_extract(full, r"\A(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://)?([^?#;]*)", 1)
-    place = F.coalesce(blank_to_null(host), path)
-    bare = F.lower(F.replace(place, F.lit("www."), F.lit("")))
-    broken = host.contains("[") != host.contains("]")
-    return F.when(~broken, blank_to_null(F.regexp_replace(bare, r"\A/+|/+\z", "")))
+    scheme = r"\A(?:[A-Za-z][A-Za-z0-9+.\-]*:)?"
+
+    def place(full: Column) -> Column:
+        host = F.regexp_extract(full, rf"{scheme}//([^/?#]*)", 1)
+        path = F.regexp_extract(full, rf"{scheme}(?://)?([^?#;]*)", 1)
+        return let(host, lambda h: F.when(h.contains("[") == h.contains("]"), F.when(h != "", h).otherwise(path)))
+
+    given = F.when(url.startswith("http"), url).otherwise(F.concat(F.lit("https://"), url))
+    found = let(F.regexp_replace(given, r"[\t\r\n]", ""), place)
+    bare = F.lower(F.replace(found, F.lit("www."), F.lit("")))
+    return F.when(url != "", let(F.regexp_replace(bare, r"\A/+|/+\z", ""), blank_to_null))

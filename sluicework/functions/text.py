@@ -150,8 +150,12 @@ def _accent_table() -> tuple[str, str]:
 def strip_accents(c: Column) -> Column:
     """'Québec' -> 'Quebec'. ASCII text, the usual case, is passed through after one cheap test."""
     source, target = _accent_table()
-    plain = F.regexp_replace(F.translate(c, source, target), r"\p{Mn}+", "")
-    return F.when(c.rlike(r"[^\x00-\x7F]"), plain).otherwise(c)
+
+    def plain(text: Column) -> Column:
+        bare = F.regexp_replace(F.translate(text, source, target), r"\p{Mn}+", "")
+        return F.when(text.rlike(r"[^\x00-\x7F]"), bare).otherwise(text)
+
+    return let(c, plain)
 
 
 # --- extraction and classification ----------------------------------------------------------------------------------

@@ -49,7 +49,7 @@ def merge_upsert(
     return kept.unionByName(paired.select(*columns))
 
 
-def ensure_stubs(
+def missing_stubs(
     companies: DataFrame,
     postings: DataFrame,
     arrival: str = "arrival",
@@ -57,7 +57,7 @@ def ensure_stubs(
     name: str = "company_name",
     now: Column | None = None,
 ) -> DataFrame:
-    """The companies table with a row (domain, name) for each domain it lacks; known companies stay as they are.
+    """A row (domain, name) for each domain that the companies table lacks.
 
     Within the batch the last name of a domain counts, even a null one. It is found by an aggregate, which combines
     before the shuffle, so a domain with very many postings is no hot key.
@@ -69,10 +69,16 @@ def ensure_stubs(
     )
     missing = last.join(companies.select("domain"), "domain", "left_anti")
     given = {"domain": F.col("domain"), "name": F.col("name"), "created_at": now, "updated_at": now}
-    stubs = missing.select(
+    return missing.select(
         *[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in companies.schema.fields]
     )
-    return companies.unionByName(stubs)
+
+
+def ensure_stubs(
+    companies: DataFrame, postings: DataFrame, arrival: str = "arrival", now: Column | None = None
+) -> DataFrame:
+    """The companies table with ``missing_stubs`` added; known companies stay as they are."""
+    return companies.unionByName(missing_stubs(companies, postings, arrival, now=now))
 
 
 def current_runs(events: DataFrame) -> DataFrame:

@@ -48,17 +48,21 @@ def jobs_enriched(postings: DataFrame, companies: DataFrame) -> DataFrame:
 
 
 def province_stats(postings: DataFrame) -> DataFrame:
-    """Per province: postings, mean of the positive minimum salaries, remote and senior rates in percent."""
+    """Per province: postings, mean of the positive minimum salaries, remote and senior rates in percent.
+
+    Rows without a province fall into one group, which is dropped by its zero count. A filter on the province itself
+    would be pushed below the projection that computes it and make Spark compute it twice when Silver is not stored.
+    """
     pay = F.when(F.col("salary_min") > 0, F.col("salary_min"))
     return (
-        filters.known(postings, "location_state")
-        .groupBy(F.col("location_state").alias("province"))
+        postings.groupBy(F.col("location_state").alias("province"))
         .agg(
-            _count().alias("job_count"),
+            F.count("location_state").alias("job_count"),
             F.round(F.avg(pay), 0).alias("avg_salary"),
             F.round(100.0 * F.count_if("is_remote") / _count(), 1).alias("remote_rate"),
             F.round(100.0 * F.count_if(_senior()) / _count(), 1).alias("senior_rate"),
         )
+        .filter(F.col("job_count") > 0)
     )
 
 

@@ -65,13 +65,19 @@ SITE = _pick(
     ["NULL", "''", "lower(c_mktsegment) || n_nationkey || '.example.com/'"]
     + ["'https://www.' || lower(c_mktsegment) || n_nationkey || '.example.com/jobs?x=1'"] * 6,
 )
-_TAGS = [_text(t) for t in lookups.TAXONOMY]
+
+
+def _tag(expr: str) -> str:
+    n = len(lookups.TAXONOMY)
+    return f"split_part({_text('|'.join(lookups.TAXONOMY))}, '|', CAST(({expr}) % {n} AS INT) + 1)"
+
+
 _DESCRIPTION = (
     "CASE WHEN k % 41 = 0 THEN '' WHEN k % 43 = 0 THEN NULL ELSE '<div title=\"a>b\"><p>Join our <b>' || c_mktsegment "
     "|| '</b> team &amp; partners.</p>\n<ul><li>' || "
-    + _pick("k", _TAGS)
+    + _tag("k")
     + " || '</li><li>' || upper("
-    + _pick("k + o_custkey", _TAGS)
+    + _tag("k + o_custkey")
     + ") || '</li></ul> ' || "
     + _pick("k", ["'R&amp;D'", "'JavaScript and NoSQL'", "'SQL/Python, <i>Power BI</i>'", "''", "'1 &lt; 2 &copy;'"])
     + " || ' ' || "

@@ -316,13 +316,13 @@ def _histogram(source: str, value: str) -> str:
     return f"""vals AS (SELECT {value} AS v {source}), e AS (SELECT min(v) AS lo, max(v) AS hi FROM vals),
 c AS (SELECT least(CAST(floor(40 * (v - lo) / (hi - lo)) AS INTEGER) + 1, 40) AS bin, count(*) AS n FROM vals, e
   GROUP BY 1)
-SELECT CAST(i AS INTEGER) AS bin, round(lo + (i - 1) * (hi - lo) / 40, 4) AS bin_start,
-  round(lo + i * (hi - lo) / 40, 4) AS bin_end, coalesce(n, 0) AS count
+SELECT CAST(i AS INTEGER) AS bin, round(lo + (i - 1) * ((hi - lo) / 40), 6) AS bin_start,
+  round(lo + i * ((hi - lo) / 40), 6) AS bin_end, coalesce(n, 0) AS count
 FROM range(1, 41) r(i) LEFT JOIN c ON bin = i, e"""
 
 
 def _bins(h: DataFrame) -> DataFrame:
-    return h.withColumns({c: F.round(c, 4) for c in ("bin_start", "bin_end")})
+    return h.withColumns({c: F.round(c, 6) for c in ("bin_start", "bin_end")})
 
 
 @query(f"{S}, {_histogram(_YEARLY, 'salary_min')}")
@@ -336,19 +336,20 @@ def histogram(t: Tables) -> DataFrame:
 
 
 @query(
-    f"{S} SELECT CAST(date_trunc('week', posted_at) AS DATE) AS week_start, count(*) AS job_count, "
+    f"{S} SELECT strftime(date_trunc('week', posted_at), '%Y-%m-%d') AS week_start, count(*) AS job_count, "
     "count(*) FILTER (WHERE is_remote) AS remote_count FROM silver WHERE posted_at IS NOT NULL GROUP BY 1"
 )
 def weekly_trends(t: Tables) -> DataFrame:
-    return gold.weekly_trends(t.silver)
+    return gold.weekly_trends(t.silver).withColumn("week_start", F.col("week_start").cast("string"))
 
 
 @query(
-    "SELECT CAST(date_trunc('week', ts) AS DATE) AS week_start, count(*) AS job_count, "
+    "SELECT strftime(date_trunc('week', ts), '%Y-%m-%d') AS week_start, count(*) AS job_count, "
     "count(*) FILTER (WHERE event_type = 'signup') AS remote_count FROM events GROUP BY 1"
 )
 def weekly_counts(t: Tables) -> DataFrame:
-    return aggregates.weekly_counts(t.events, "ts", F.col("event_type") == "signup")
+    weeks = aggregates.weekly_counts(t.events, "ts", F.col("event_type") == "signup")
+    return weeks.withColumn("week_start", F.col("week_start").cast("string"))
 
 
 @query("SELECT lang, count(*) AS count FROM documents WHERE lang IS NOT NULL GROUP BY 1")
