@@ -16,11 +16,15 @@ def _bucket(value: Column) -> Column:
     return F.when(value < 0, -size).otherwise(size).cast("bigint")
 
 
+def _numbers(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """(keys, ``value``) as double, without nulls and NaN."""
+    rows = df.select(*keys, F.col(value).cast("double").alias("value"))
+    return rows.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
 def count_distinct_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Copies of each value per group, as (keys, ``value``, ``n``); null values and NaN are left out."""
-    number = F.col(value).cast("double")
-    rows = df.select(*keys, number.alias("value")).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    return rows.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
+    return _numbers(df, keys, value).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def quantiles_of_counts(values: DataFrame, keys: Sequence[str], fractions: dict[str, float]) -> DataFrame:
@@ -105,7 +109,7 @@ def outliers(df: DataFrame, key: str, value: str) -> DataFrame:
 
 def histogram(df: DataFrame, value: str, bins: int = 40) -> DataFrame:
     """``bins`` bins of equal width from the smallest to the largest value, empty ones included; the last is closed."""
-    rows = df.select(F.col(value).cast("double").alias("value")).filter(F.col("value").isNotNull())
+    rows = _numbers(df, [], value)
     span = rows.agg(F.struct(F.min("value").alias("lo"), F.max("value").alias("hi"))).scalar()
     lo, hi = span["lo"], span["hi"]
     place = F.when(hi > lo, F.least(F.width_bucket(F.col("value"), lo, hi, F.lit(bins)), F.lit(bins))).otherwise(1)
