@@ -20,19 +20,19 @@ from pyspark.sql.types import StringType
 from sluicework import lookups
 from sluicework.functions.lookup import blank_to_null, let, literal_map, lookup
 
-# Every whitespace character of Unicode, plus the four ASCII separators.
-SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-OTHER_SPACE = r"[\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# Every whitespace character; as a pattern and as a set of characters to trim.
+SPACE = r"(?U)[\s\x1c-\x1f]+"
+SPACE_CHARACTERS = "".join(chr(code) for code in range(0x10000) if chr(code).isspace())
 
 
 def strip_space(c: Column) -> Column:
-    """Remove leading and trailing whitespace of any kind (``trim`` removes plain spaces only)."""
-    return F.regexp_replace(c, rf"\A{SPACE}+|{SPACE}+\z", "")
+    """Remove leading and trailing whitespace of any kind (``trim`` alone removes plain spaces only)."""
+    return F.btrim(c, F.lit(SPACE_CHARACTERS))
 
 
 def collapse_space(c: Column) -> Column:
     """One space for each run of whitespace, none at the ends."""
-    return F.trim(F.regexp_replace(c, f"{SPACE}{{2,}}|{OTHER_SPACE}", " "))
+    return F.trim(F.regexp_replace(c, SPACE, " "))
 
 
 def contains_any(c: Column, words: Sequence[str]) -> Column:
@@ -88,9 +88,12 @@ def _decode_references(text: Column) -> Column:
             F.array_distinct(F.regexp_extract_all(common, F.lit(_ENTITY), F.lit(0))), lambda e: ~e.rlike(_AMPERSAND)
         )
         closed = F.reduce(found, common, lambda t, e: F.replace(t, e, _decode_entity(e)))
+        return let(closed, lambda t: F.when(t.rlike(f"&(?:{'|'.join(_UNCLOSED)}){_NOT_LONGER}"), unclosed(t)).otherwise(t))
+
+    def unclosed(t: Column) -> Column:
         for name, char in _UNCLOSED.items():
-            closed = F.regexp_replace(closed, f"&{name}{_NOT_LONGER}", char)
-        return closed
+            t = F.regexp_replace(t, f"&{name}{_NOT_LONGER}", char)
+        return t
 
     rare = f"(?!{_AMPERSAND})(?:{_ENTITY}|&(?:{'|'.join(_UNCLOSED)}))"
     others = let(text, lambda t: F.when(t.rlike(rare), decode_rest(t)).otherwise(t))

@@ -29,12 +29,27 @@ def last_per_key(df: DataFrame, key: str | Sequence[str], arrival: str) -> DataF
     return _one_per_key(df, key, [F.col(arrival).desc_nulls_last()])
 
 
-def filter_new(incoming: DataFrame, target: DataFrame, key: str) -> DataFrame:
+# Batches up to this many rows may have their keys broadcast: some 100 MB on each executor.
+SMALL_BATCH = 1_000_000
+
+
+def batch_keys(incoming: DataFrame, key: str, rows: int | None = None) -> DataFrame:
+    """Distinct keys of a batch, marked for broadcast when the caller has counted it and found it small."""
+    keys = incoming.select(key).distinct()
+    return F.broadcast(keys) if rows is not None and rows <= SMALL_BATCH else keys
+
+
+def filter_new(incoming: DataFrame, target: DataFrame, key: str, rows: int | None = None) -> DataFrame:
     """Incoming rows whose key the target lacks; copies within the incoming rows stay.
 
-    Only the target's key column is read.
+    Only the target's key column is read. ``rows``, the counted size of the batch, lets a small one visit the target:
+    the target's keys are then filtered where they lie, and only the hits are compared with the batch. Without it, or
+    for a large batch, both sides are shuffled by key.
     """
-    return incoming.join(target.select(key), key, "left_anti")
+    known = target.select(key)
+    if rows is not None and rows <= SMALL_BATCH:
+        known = known.join(batch_keys(incoming, key, rows), key, "left_semi")
+    return incoming.join(known, key, "left_anti")
 
 
 def known_rows(incoming: DataFrame, target: DataFrame, key: str) -> DataFrame:

@@ -23,13 +23,16 @@ def value_table(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFra
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
-def left_join_spread_nulls(left: DataFrame, right: DataFrame, key: str, right_key: str, spread_by: str) -> DataFrame:
+def left_join_spread_nulls(
+    left: DataFrame, right: DataFrame, key: str, right_key: str, spread_by: str | None = None
+) -> DataFrame:
     """LEFT equi-join whose null-keyed rows are spread over partitions.
 
     Rows without a key match nothing, yet a plain left join would send all of them to one task. Each gets a stand-in
-    key from a hash of ``spread_by``, starting with a NUL character that no real key has.
+    key from a hash of ``spread_by`` (by default of the whole row), starting with a NUL character that no real key has.
     """
-    bucket = F.pmod(F.xxhash64(spread_by), F.lit(NULL_SPREAD)).cast("string")
+    spread = [spread_by] if spread_by else left.columns
+    bucket = F.pmod(F.xxhash64(*spread), F.lit(NULL_SPREAD)).cast("string")
     probe = F.coalesce(F.col(key), F.concat(F.lit("\0"), bucket))
     joined = left.withColumn("_probe", probe).join(
         right.withColumnRenamed(right_key, "_match"), F.col("_probe") == F.col("_match"), "left"

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluicework.operators.dedup import first_per_key
+from sluicework.operators.dedup import batch_keys, first_per_key
 
 
 def merge_upsert(
@@ -20,16 +20,18 @@ def merge_upsert(
     arrival: str | None = "arrival",
     preserve: Sequence[str] = ("created_at", "fetched_at"),
     now: Column | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """The target with incoming rows inserted or put in place of the row of the same key.
 
     Within the batch the first row of a key counts. A replaced row keeps the target's ``preserve`` columns and any that
     the batch lacks; ``updated_at`` becomes ``now``, and so does ``created_at`` of an inserted row. The target is
-    filtered by the batch's keys alone, which Spark broadcasts when it measures them to be small.
+    filtered by the batch's keys alone; with ``rows``, the counted size of the batch, a small one is broadcast and the
+    target is not shuffled.
     """
     now = F.current_timestamp() if now is None else now
     batch = first_per_key(incoming, key, arrival) if arrival else incoming
-    keys = batch.select(key)
+    keys = batch_keys(incoming, key, rows)
     kept = target.join(keys, key, "left_anti")
     from_target = [c for c in target.columns if c != key and (c in preserve or c not in batch.columns)]
     from_batch = [c for c in target.columns if c in batch.columns and c != key]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +9,7 @@ from sluicework.functions.lookup import percent
 from sluicework.functions.text import has_odd_characters
 from sluicework.operators import aggregates
 from sluicework.operators.filters import top_n
+from sluicework.operators.joins import left_join_spread_nulls
 from sluicework.sources.readers import source_of
 
 FREQUENCY_FIELDS = {
@@ -91,30 +90,24 @@ def key_violations(df: DataFrame, key: str) -> DataFrame:
     return counts.filter((F.col("count") > 1) | F.col(key).isNull())
 
 
+def _lacking(df: DataFrame, parent: DataFrame, key: str, parent_key: str) -> DataFrame:
+    """Distinct keys without a parent."""
+    keys = df.select(key).filter(F.col(key).isNotNull()).distinct()
+    return keys.join(parent.select(F.col(parent_key).alias(key)), key, "left_anti")
+
+
 def orphans(df: DataFrame, parent: DataFrame, key: str, parent_key: str) -> DataFrame:
     """Rows whose non-null key has no parent.
 
     Distinct keys are checked first; rows are then matched against the few that fail.
     """
-    lacking = (
-        df.select(key)
-        .filter(F.col(key).isNotNull())
-        .distinct()
-        .join(parent.select(F.col(parent_key).alias(key)), key, "left_anti")
-    )
-    return df.join(lacking, key, "left_semi")
+    return df.join(_lacking(df, parent, key, parent_key), key, "left_semi")
 
 
 def clear_orphans(df: DataFrame, parent: DataFrame, key: str, parent_key: str) -> DataFrame:
     """The rows with keys that have no parent set to null (what deleting a parent does)."""
-    lacking = (
-        df.select(key)
-        .filter(F.col(key).isNotNull())
-        .distinct()
-        .join(parent.select(F.col(parent_key).alias(key)), key, "left_anti")
-        .withColumn("_orphan", F.lit(True))
-    )
-    marked = df.join(lacking, key, "left")
+    lacking = _lacking(df, parent, key, parent_key).withColumn("_orphan", F.lit(True))
+    marked = left_join_spread_nulls(df, lacking, key, key)
     return marked.withColumn(key, F.when(F.col("_orphan").isNull(), F.col(key))).drop("_orphan").select(df.columns)
 
 

@@ -11,9 +11,12 @@ _STEPS_PER_OCTAVE = 256
 
 
 def _bucket(value: Column) -> Column:
-    """A number that never falls as the value grows: steps of equal ratio, so skewed values spread evenly."""
+    """A number that never falls as the value grows: steps of equal ratio, so skewed values spread evenly.
+
+    It is declared non-null, so that joining on it adds no filter to one of the two plans that share the counts.
+    """
     size = F.floor(F.log2(F.abs(value) + 1) * _STEPS_PER_OCTAVE)
-    return F.when(value < 0, -size).otherwise(size).cast("bigint")
+    return F.coalesce(F.when(value < 0, -size).otherwise(size).cast("bigint"), F.lit(0))
 
 
 def _numbers(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -69,12 +69,21 @@ def log_run(spark: SparkSession, store: Store, run: str, status: str, **fields:
     spark.range(1).select(*columns).coalesce(1).write.mode("append").parquet(store.path("runs"))
 
 
+def land_bronze(spark: SparkSession, rows: DataFrame, store: Store, run: str) -> DataFrame:
+    """Store a run's Bronze rows, and read them back: the payloads are parsed once."""
+    rows.write.mode("overwrite").parquet(store.path("bronze", run))
+    return spark.read.parquet(store.path("bronze", run))
+
+
 def load_batch(
     spark: SparkSession, batch: DataFrame, store: Store, run: str, curated: DataFrame | None = None
 ) -> None:
-    """Bronze rows to Silver rows with new keys, stored as the run's folder, then stubs for companies not yet known."""
+    """Bronze rows to Silver rows with new keys, stored as the run's folder, then stubs for companies not yet known.
+
+    ``batch`` is a stored table, so counting it reads file footers only.
+    """
     known = store.postings(spark).filter(F.col("ingest_run") != run)
-    fresh = filter_new(first_per_key(batch, "job_id", "arrival"), known, "job_id")
+    fresh = filter_new(first_per_key(batch, "job_id", "arrival"), known, "job_id", rows=batch.count())
     silver = to_silver(fresh)
     if curated is None:
         silver = silver.withColumn("filled", F.lit(False))
@@ -105,8 +114,7 @@ def run_ingest(
     log_run(spark, store, run, "running")
     try:
         landed = ingest_bronze(spark, paths, fetched_at, max_pages)
-        landed.write.mode("overwrite").parquet(store.path("bronze", run))
-        batch = spark.read.parquet(store.path("bronze", run))
+        batch = land_bronze(spark, landed, store, run)
         load_batch(spark, batch, store, run, curated)
         before = store.postings(spark).filter(F.col("ingest_run") != run)
         counts = dedup_counts(batch, before, "job_id").first()

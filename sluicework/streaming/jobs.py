@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sluicework.plans.ingest import Store, load_batch
+from sluicework.plans.ingest import Store, land_bronze, load_batch
 from sluicework.sources.mappings import Source
 from sluicework.sources.readers import with_arrival
 
@@ -28,7 +28,8 @@ def ingest_stream(
     stamp = F.current_timestamp() if fetched_at is None else fetched_at
 
     def insert(batch: DataFrame, number: int) -> None:
-        load_batch(batch.sparkSession, batch, store, f"{source.name}-{number}")
+        session, run = batch.sparkSession, f"{source.name}-{number}"
+        load_batch(session, land_bronze(session, batch, store, run), store, run)
 
     reader = spark.readStream.schema(source.page_ddl)
     if max_files:

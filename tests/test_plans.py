@@ -73,3 +73,23 @@ def test_no_query_multiplies_tables(spark, name):
         pytest.skip("covered by the comparison with its twin")
     text = plan(queries()[name](spark, FOLDER))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_quantiles_and_shares_scan_their_input_once(t):
+    for df in (
+        quantiles.grouped_median(t.lineitem, "l_returnflag", "l_extendedprice"),
+        quantiles.box_stats(t.orders, "o_orderpriority", "o_totalprice"),
+        gold.province_share(t.silver),
+    ):
+        df.collect()
+        final = plan(df).split("== Initial Plan ==")[0]
+        assert "ReusedExchange" in final and final.count("FileScan") <= 1
+
+
+def test_a_small_batch_does_not_shuffle_the_target(t):
+    batch = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"))
+    small = dedup.filter_new(batch, t.orders, "o_orderkey", rows=6000)
+    assert "LeftSemi, BuildRight" in plan(small)
+    assert sorted(small.collect()) == sorted(dedup.filter_new(batch, t.orders, "o_orderkey").collect())
+    large = dedup.filter_new(batch, t.orders, "o_orderkey", rows=dedup.SMALL_BATCH + 1)
+    assert "LeftSemi" not in plan(large)
