@@ -141,9 +141,17 @@ def relative_to_timestamp(text: Column, as_of: Column, tz: str = "America/Toront
 def parse_posted_at(text: Column, as_of: Column, tz: str = "America/Toronto") -> Column:
     """Timestamp of a relative ("… ago") or an ISO text; null for anything else."""
     relative = F.lower(text).contains("ago")
-    return F.when(relative, relative_to_timestamp(text, as_of, tz)).otherwise(
-        F.try_to_timestamp(blank_to_null(strip_space(text)))
-    )
+    return F.when(relative, relative_to_timestamp(text, as_of, tz)).otherwise(coerce_timestamp(text))
+
+
+def coerce_timestamp(text: Column) -> Column:
+    """Timestamp of an ISO text; null for anything else."""
+    return F.try_to_timestamp(blank_to_null(strip_space(text)))
+
+
+def coerce_number(value: Column) -> Column:
+    """Number of a text; null for anything else."""
+    return value.try_cast("double")
 
 
 # --- domains --------------------------------------------------------------------------------------------------------

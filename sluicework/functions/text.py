@@ -46,7 +46,7 @@ def contains_any(c: Column, words: Sequence[str]) -> Column:
 
 # --- HTML to text ---------------------------------------------------------------------------------------------------
 
-_RAW_TEXT = r"<(script|style)\b[^>]*>(.*?)</\1\s*>"
+_RAW_TEXT = r"<(script|style)\b[^>]*>(.*?)(?:</\1\s*>|\z)"
 _COMMENT = r"<!--.*?(?:-->|\z)"
 _DECLARATION = r"<!\[CDATA\[.*?\]\]>|<[!?][^>]*(?:>|\z)"
 _TAG = r"</?[a-zA-Z](?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+>|</?[a-zA-Z/][^>]*(?:>|\z)"

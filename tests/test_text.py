@@ -24,6 +24,7 @@ def test_clean_html(apply):
         '<script>var t="</p>";go()</script>after<!-- <b>note</b> -->': 'var t="</p>";go() after',
         '<a title="x>y" href=\'a>b\'>link</a>': "link",
         "tail <b attr": "tail",
+        "a<script>never <b>closed": "a never <b>closed",
         "<!DOCTYPE html><?php x ?>text here": "text here",
     }
     assert apply(X.clean_html, list(cases)) == list(cases.values())

@@ -281,6 +281,17 @@ def relative_to_timestamp(t: Tables) -> DataFrame:
     return t.feed.select("k", F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("at"))
 
 
+@query(
+    f"WITH {oracle.FEED} SELECT k, strftime(TRY_CAST(replace(iso, 'Z', '') AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS at, "
+    "TRY_CAST(CASE WHEN feed = 'jsearch' THEN period ELSE CAST(k % 100 AS VARCHAR) END AS DOUBLE) AS number FROM feed"
+)
+def coerce_values(t: Tables) -> DataFrame:
+    """Texts to times and numbers; what cannot be read is null."""
+    text = F.when(F.col("feed") == "jsearch", F.col("period")).otherwise((F.col("k") % 100).cast("string"))
+    at = F.date_format(N.coerce_timestamp(F.col("iso")), "yyyy-MM-dd HH:mm:ss")
+    return t.feed.select("k", at.alias("at"), N.coerce_number(text).alias("number"))
+
+
 @query(f"WITH {oracle.SILVER} SELECT job_id, strftime(posted_at, '%Y-%m-%d %H:%M:%S') AS posted_at FROM silver")
 def parse_posted_at(t: Tables) -> DataFrame:
     at = N.parse_posted_at(F.col("posted_at_raw"), t.as_of)
