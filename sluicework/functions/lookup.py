@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from itertools import chain
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,14 +19,27 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def literal_map(table: Mapping[str, object]) -> Column:
-    """A constant map column; Spark folds it to one literal."""
+_SEPARATOR = "\x1f"
+
+
+def literal_array(values: Sequence[str]) -> Column:
+    """A constant array of texts. One literal is split, which Spark folds; a literal per value would slow planning."""
+    if any(_SEPARATOR in v for v in values):
+        raise ValueError("a value holds the unit separator")
+    return F.split(F.lit(_SEPARATOR.join(values)), _SEPARATOR)
+
+
+def literal_map(table: Mapping[str, str | int]) -> Column:
+    """A constant map from texts to texts or whole numbers; Spark folds it to one literal."""
     if len(table) > MAX_LITERAL_KEYS:
         raise ValueError(f"{len(table)} keys: join a lookup table instead")
-    return F.create_map(*[F.lit(x) for x in chain.from_iterable(table.items())])
+    values = literal_array([str(v) for v in table.values()])
+    if all(isinstance(v, int) for v in table.values()):
+        values = values.cast("array<int>")
+    return F.map_from_arrays(literal_array(list(table)), values)
 
 
-def lookup(key: Column, table: Mapping[str, object], default: Column | None = None) -> Column:
+def lookup(key: Column, table: Mapping[str, str | int], default: Column | None = None) -> Column:
     """Value of ``key`` in ``table``, else ``default`` (null when not given)."""
     found = F.try_element_at(literal_map(table), key)
     return found if default is None else F.coalesce(found, default)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from sluicework import lookups
-from sluicework.functions.lookup import blank_to_null, let, literal_map, lookup
+from sluicework.functions.lookup import blank_to_null, let, literal_array, literal_map, lookup
 
 # Every whitespace character; as a pattern and as a set of characters to trim.
 SPACE = r"(?U)[\s\x1c-\x1f]+"
@@ -241,7 +241,7 @@ def extract_tags(text: Column, taxonomy: Sequence[str] = tuple(lookups.TAXONOMY)
     if not words or not lower_case or len(set(taxonomy)) != len(taxonomy) or _may_overlap(taxonomy):
         found = scan([t.lower() for t in taxonomy])
     else:
-        found = F.array_intersect(F.split(low, r"(?U)\W+"), F.array(*[F.lit(w) for w in words]))
+        found = F.array_intersect(F.split(low, r"(?U)\W+"), literal_array(words))
         if phrases:
             found = F.concat(found, scan(phrases))
     return F.coalesce(F.array_sort(found), F.array().cast("array<string>"))
@@ -259,23 +259,15 @@ def infer_location_from_text(
     """
     ranked = sorted(cities, key=len, reverse=True)
     any_code = "|".join(codes)
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("key"),
-                F.lit(
-                    rf"(?U){re.escape(c)},?\s*(?:{re.escape(cities[c].lower())}|{any_code.lower()})\b"
-                ).alias("pattern"),
-                F.lit(lookups.city_display(c)).alias("city"),
-                F.lit(cities[c]).alias("province"),
-            )
-            for c in ranked
-        ]
-    )
+    patterns = {
+        c: rf"(?U){re.escape(c)},?\s*(?:{re.escape(cities[c].lower())}|{any_code.lower()})\b" for c in ranked
+    }
+    names = {c: lookups.city_display(c) for c in ranked}
 
     def best_city(low: Column) -> Column:
-        hits = F.filter(entries, lambda e: low.contains(e["key"]) & F.rlike(low, e["pattern"]))
-        places = F.transform(hits, lambda e: F.struct(e["city"].alias("city"), e["province"].alias("province")))
+        hits = F.filter(literal_array(ranked), lambda c: low.contains(c) & F.rlike(low, lookup(c, patterns)))
+        first = F.slice(hits, 1, 1)
+        places = F.transform(first, lambda c: F.struct(lookup(c, names).alias("city"), lookup(c, cities).alias("province")))
         return F.get(places, F.lit(0))
 
     alone = lookup(F.regexp_extract(text, rf"(?U)(?:,\s*|\s)({any_code})(?:\s|,|$|\b)", 1), codes)
