@@ -5,12 +5,13 @@ from __future__ import annotations
 import re
 
 import pytest
-from __spark_entry__ import queries
 from pyspark.sql import functions as F
 
 from sluicework.operators import dedup, filters, merge, quantiles
 from sluicework.plans import gold
 from sluicework.plans.silver import to_silver
+from workload import q_gold, q_merge, q_sources, q_stream  # noqa: F401
+from workload.registry import QUERIES
 from workload.tables import Tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -67,11 +68,11 @@ def test_merge_filters_the_target_by_key_only(t):
     assert "LeftAnti" in plan(merge.merge_upsert(target, batch, "id"))
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_query_multiplies_tables(spark, name):
     if name.startswith(("stream_", "map_", "ingest_", "limit_")):
         pytest.skip("covered by the comparison with its twin")
-    text = plan(queries()[name](spark, FOLDER))
+    text = plan(QUERIES[name](spark, FOLDER))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 

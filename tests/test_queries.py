@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import connect, difference
+from workload.registry import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -18,14 +19,14 @@ def duck():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_returns_rows(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_twin(spark, duck, name):
-    got = entry.queries()[name](spark, FOLDER).toPandas()
-    assert difference(got, duck.execute(entry.oracle_sql()[name]).df()) == ""
+    got = QUERIES[name](spark, FOLDER).toPandas()
+    assert difference(got, duck.execute(ORACLES[name]).df()) == ""
