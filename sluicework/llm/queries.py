@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicework.llm import simhash
+from sluicework.llm import dac, simhash, toxicity
 from sluicework.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate components of all documents: 3-word shingles, up to 2 differing bits."""
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the installed vocabulary files lie; the operators take any path."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@query()
+def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of all documents, written to files of directly addressable codes and read back."""
+    return dac.token_index(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query()
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents, learnt from the labelled rows outside fold 0."""
+    found = toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select(
+        "doc_id",
+        (toxicity.fold(F.col("doc_id")) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "rejected",
+    )
