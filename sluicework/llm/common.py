@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -36,3 +37,17 @@ def small_batches(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """A text column as Python strings; null counts as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]
+
+
+# ASCII characters that are no part of a word become blanks.
+_BLANKED = bytes(c if c >= 128 or chr(c).isalnum() or c == 95 else 32 for c in range(256))
+_ODD = re.compile(r"[^\w\x00-\x7f]")
+_WORD = re.compile(r"\w+")
+
+
+def lower_words(text: str) -> list[bytes]:
+    """The words (``\\w+``) of a text in lower case, as UTF-8. Texts without odd characters are split bytewise, which is faster."""
+    text = text.lower()
+    if text.isascii() or not _ODD.search(text):
+        return text.encode("utf-8", "surrogatepass").translate(_BLANKED).split()
+    return [w.encode("utf-8", "surrogatepass") for w in _WORD.findall(text)]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicework.llm import dac, simhash, toxicity
+from sluicework.llm import cgk, dac, simhash, toxicity
 from sluicework.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,9 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         "rejected",
     )
+
+
+@query()
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items found in documents, up to a tenth of their characters edited."""
+    return cgk.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

@@ -7,7 +7,6 @@ are calibrated by language on labelled rows that the training did not see.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -17,9 +16,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluicework.llm.common import lower_words
+
 
 
-WORD = re.compile(r"\w+")
 # Rows of the embedding table: one for padding, then those of whole words and those of the first letters.
 WORD_ROWS, PREFIX_ROWS = 1 << 16, 1 << 14
 PREFIXES = (3, 5)
@@ -68,15 +68,15 @@ class Rows(dict):
     def _prefix(self, part: str, kind: int) -> int:
         key = f"{kind}{part}"
         if key not in self._prefixes:
-            self._prefixes[key] = 1 + WORD_ROWS + zlib.crc32(key.encode("utf-8", "surrogatepass")) % PREFIX_ROWS
+            self._prefixes[key] = 1 + WORD_ROWS + zlib.crc32(key.encode()) % PREFIX_ROWS
         return self._prefixes[key]
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         row = len(self) + 1
         if row == len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        own = 1 + zlib.crc32(word.encode("utf-8", "surrogatepass")) % WORD_ROWS
-        self.table[row] = (own, *(self._prefix(word[:n], n) for n in PREFIXES))
+        letters = word.decode("utf-8", "replace")
+        self.table[row] = (1 + zlib.crc32(word) % WORD_ROWS, *(self._prefix(letters[:n], n) for n in PREFIXES))
         self[word] = row
         return row
 
@@ -137,7 +137,7 @@ def score_texts(texts: list[str], model: Model) -> np.ndarray:
         if len(rows) > MAX_KNOWN:
             flush()
             rows.clear()
-        for run, count in _segments(list(map(rows.__getitem__, WORD.findall(text.lower()))), pad):
+        for run, count in _segments(list(map(rows.__getitem__, lower_words(text))), pad):
             waiting.append((run, count))
             owners.append(i)
             size += len(run)
@@ -189,7 +189,7 @@ def train(texts: list[str], labels: list[int], settings: Settings) -> Model:
     model.embeddings[0] = 0
     rows, docs, pad = Rows(), [], max(s.widths) - 1
     for text in texts:
-        found = list(map(rows.__getitem__, WORD.findall(text.lower())))
+        found = list(map(rows.__getitem__, lower_words(text)))
         docs.append(rows.table[np.array(found + [0] * (pad + (not found)), dtype=np.int64)])
     sums = np.zeros_like(model.embeddings)
     steps = [_Adam(f.shape, s.rate) for f in model.filters], [_Adam(b.shape, s.rate) for b in model.biases]
