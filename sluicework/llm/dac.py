@@ -218,7 +218,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end: int = 2, tex
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     order = ["doc_id", F.xxhash64("text")]
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
-    return dealt.mapInArrow(run, "part int, seq int, path string, n_docs long, n_tokens long")
+    return dealt.mapInArrow(run, "part long, seq long, path string, n_docs long, n_tokens long")
 
 
 def read_tokens(files: DataFrame) -> DataFrame:

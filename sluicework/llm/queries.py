@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicework.llm import cgk, dac, simhash, toxicity
+from sluicework.llm import cgk, dac, secrets, simhash, spm, toxicity, urls
 from sluicework.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,34 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark items found in documents, up to a tenth of their characters edited."""
     return cgk.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query()
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents, and the texts that they decode to."""
+    return spm.round_trip(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+HOST_RULES = (
+    urls.host_rule("allow", "com"),
+    urls.host_rule("block", "example.com", "/en/"),
+    urls.host_rule("allow", "www.example.com", "/en/"),
+    urls.host_rule("block", "net", "/es/"),
+    urls.host_rule("block", "net", "/fr/"),
+)
+
+
+@query(urls.sql_twin((*HOST_RULES, *urls.SPAM_RULES)))
+def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdicts on the URLs of all pages: the host rules, else the method's."""
+    found = urls.filter_urls(table(spark, folder, "pages"), (*HOST_RULES, *urls.SPAM_RULES))
+    return found.select("page_id", "host", "path", F.when(F.col("tier") == 1, F.col("rule")).alias("rule"), "verdict")
+
+
+@query()
+def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in all documents: certain spans, and weak ones beside their complement."""
+    found = secrets.scan(table(spark, folder, "documents"))
+    counts = [F.size(F.filter("base", lambda s, r=r: s["rank"] == r)).cast("long").alias(f"n_{k}") for r, k in enumerate(secrets.KINDS[:3])]
+    digest = F.sha2(secrets.shown(F.col("base")), 256).alias("base_sha256")
+    return found.select("doc.doc_id", *counts, digest, secrets.shown(F.col("spans")).alias("spans"))
