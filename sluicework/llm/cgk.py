@@ -10,12 +10,13 @@ positions are verified by their exact edit distance.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -279,14 +280,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
 
 def is_contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), text: str = "text") -> Column:
     """Whether a text holds a benchmark item, as a column of ``docs``; false for null and empty texts."""
-    answer = F.lit(False)
-    for matcher in passes(benchmark, settings):
-        shared = docs.sparkSession.sparkContext.broadcast(matcher)
-
+    def marker(shared: Broadcast) -> Callable[[Column], Column]:
         @F.arrow_udf("boolean")
-        def run(batches: Iterator[pa.Array], shared=shared) -> Iterator[pa.Array]:
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for batch in batches:
                 yield pa.array([bool(own) for own in shared.value.hits([t or "" for t in batch.to_pylist()])], pa.bool_())
 
-        answer = answer | run(F.col(text))
+        return run
+
+    answer = F.lit(False)
+    for matcher in passes(benchmark, settings):
+        answer = answer | marker(docs.sparkSession.sparkContext.broadcast(matcher))(F.col(text))
     return answer
