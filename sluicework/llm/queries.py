@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicework.llm import cgk, dac, secrets, simhash, spm, toxicity, urls
+from sluicework.llm import cgk, dac, secrets, simhash, spm, suffix, toxicity, urls
 from sluicework.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,9 @@ def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     counts = [F.size(F.filter("base", lambda s, r=r: s["rank"] == r)).cast("long").alias(f"n_{k}") for r, k in enumerate(secrets.KINDS[:3])]
     digest = F.sha2(secrets.shown(F.col("base")), 256).alias("base_sha256")
     return found.select("doc.doc_id", *counts, digest, secrets.shown(F.col("spans")).alias("spans"))
+
+
+@query()
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of all documents without the strings of 50 bytes that start in earlier ones."""
+    return suffix.remove_repeats(table(spark, folder, "documents")).drop("kept")
