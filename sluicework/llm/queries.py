@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicework.llm import cgk, dac, secrets, simhash, spm, suffix, toxicity, urls
+from sluicework.llm import cgk, dac, mtree, secrets, simhash, spm, suffix, toxicity, urls
 from sluicework.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,19 @@ def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of all documents without the strings of 50 bytes that start in earlier ones."""
     return suffix.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
+TOP_K_SQL = """
+WITH whole AS (SELECT DISTINCT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
+@query(TOP_K_SQL)
+def op4_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best partners of every fiftieth vector, by inner product of whole numbers."""
+    return mtree.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
