@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicework.llm import cgk, dac, mtree, secrets, simhash, spm, suffix, toxicity, urls
+from sluicework.llm import cgk, dac, htmltext, mtree, secrets, simhash, spm, suffix, toxicity, urls
 from sluicework.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,9 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 def op4_top_k(spark: SparkSession, folder: str) -> DataFrame:
     """The five best partners of every fiftieth vector, by inner product of whole numbers."""
     return mtree.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The visible text of all pages."""
+    return htmltext.extract_pages(table(spark, folder, "pages"))

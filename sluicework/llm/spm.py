@@ -8,8 +8,10 @@ segmentation is then read backwards. Characters of no piece become the pieces of
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from math import inf
 
 import ahocorasick
 import numpy as np
@@ -67,18 +69,22 @@ class Codec:
         for i, name in pieces.names.items():
             self.automaton.add_word(name, (len(name), pieces.scores[i], i))
         self.automaton.make_automaton()
+        self._single = {name for name in pieces.names.values() if len(name) == 1}
         # No piece crosses the start of a run of blanks, nor a line end that is in no longer piece: the best
         # segmentation of a text is then that of the parts in a row, and parts that come again are known.
         crossing = any(BLANK in name.lstrip(BLANK) for name in pieces.names.values())
         lines = any("\n" in name and len(name) > 1 for name in pieces.names.values())
         part = rf"{BLANK}*[^{BLANK}]+|{BLANK}+" if lines else rf"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n"
         self._split = None if crossing else re.compile(part)
-        self._words = WordCache(lambda words: [np.array(self.segment(w), dtype="<i4").tobytes() for w in words])
+        self._words = WordCache(lambda words: [array("i", self.segment(w)).tobytes() for w in words])
 
     def segment(self, text: str) -> list[int]:
         """Ids of the best segmentation; of equal ones, the one whose last piece is longest, and so on backwards."""
         count, unknown = len(text), self.pieces.unknown
-        best, came = [0.0] + [-np.inf] * count, [(0, -1)] * (count + 1)
+        best = [0.0] + [-inf] * count
+        if self._single.issuperset(text):
+            return self._known_only(text, best)
+        came = [(0, -1)] * (count + 1)
         done, single = 0, False  # positions up to ``done`` are final; whether a one-character piece ends at done + 1
 
         def settle(upto: int) -> None:
@@ -103,6 +109,22 @@ class Codec:
             at = start
         return ids[::-1]
 
+    def _known_only(self, text: str, best: list[float]) -> list[int]:
+        """The same for a text of which each character is a piece: no position is out of reach."""
+        came, last = [0] * len(best), [0] * len(best)
+        for end, (length, score, i) in self.automaton.iter(text):
+            start = end + 1 - length
+            score += best[start]
+            end += 1
+            if score > best[end]:
+                best[end], came[end], last[end] = score, start, i
+        ids, at = [], len(text)
+        while at:
+            ids.append(last[at])
+            at = came[at]
+        ids.reverse()
+        return ids
+
     def _as_bytes(self, char: str) -> list[int]:
         known = self.pieces.bytes
         return [known.get(b, self.pieces.unknown_id) for b in char.encode("utf-8", "surrogatepass")]
@@ -146,7 +168,7 @@ def encode(path: str, text: Column) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             found = [None if t is None else codec(path).encode(t) for t in batch.to_pylist()]
-            offsets = np.concatenate([[0], np.cumsum([0 if x is None else len(x) for x in found])]).astype(np.int32)
+            offsets = np.cumsum([0, *(0 if x is None else len(x) for x in found)]).astype(np.int32)
             values = np.concatenate([np.zeros(0, np.int32), *(x for x in found if x is not None)])
             missing = pa.array([x is None for x in found])
             yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()), mask=missing)
@@ -155,12 +177,17 @@ def encode(path: str, text: Column) -> Column:
 
 
 def decode(path: str, ids: Column) -> Column:
-    """The texts of an array column of ids; null stays null, nulls within an array are passed over."""
+    """The texts of an array column of ids; null stays null, nulls and negative numbers within an array are passed over."""
 
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([None if x is None else codec(path).decode([i for i in x if i is not None]) for x in batch.to_pylist()], pa.string())
+            # Row by row from the flat values: Python numbers for all ids of a batch would take a hundred times a row's.
+            values, known = batch.values.fill_null(-1).to_numpy(), batch.is_valid().to_pylist()
+            ends = batch.offsets.to_numpy()
+            rows = (values[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True))
+            texts = (codec(path).decode(row[row >= 0].tolist()) if ok else None for row, ok in zip(rows, known, strict=True))
+            yield pa.array(texts, pa.string())
 
     return run(ids)
 
