@@ -11,10 +11,13 @@ offsets of chunks, bitmap and directory; then document ids with a flag for null,
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -36,6 +39,7 @@ MAX_WIDTH = 16
 # A file is closed once it holds so many ids: some 60 MB of memory while it is written.
 TOKENS_A_FILE = 4_000_000
 TOKENS_AT_ONCE = 1_000_000
+WORDS_A_TEXT = 512
 
 
 # --- the code ---------------------------------------------------------------------------------------------------------
@@ -43,11 +47,8 @@ TOKENS_AT_ONCE = 1_000_000
 
 def level_widths(ids: np.ndarray) -> list[int]:
     """Chunk widths with the fewest bits in all, by dynamic programming over the bits that the ids need."""
-    lengths = np.zeros(len(ids), dtype=np.int64)
-    for bit in range(32):
-        lengths += (ids >> np.uint32(bit)) > 0
-    top = max(1, int(lengths.max(initial=1)))
-    longer = [len(ids), *(int((lengths > b).sum()) for b in range(1, top + 1))]
+    top = max(1, int(ids.max(initial=1)).bit_length())
+    longer = [len(ids), *(int(np.count_nonzero(ids >= 1 << b)) for b in range(1, top))]
     cost: list[tuple[float, list[int]]] = [(float("inf"), [])] * top + [(0.0, [])]
     for start in range(top - 1, -1, -1):
         for width in range(1, min(MAX_WIDTH, top - start) + 1):
@@ -59,8 +60,8 @@ def level_widths(ids: np.ndarray) -> list[int]:
 
 
 def pack(chunks: np.ndarray, width: int) -> bytes:
-    bits = (chunks[:, None] >> np.arange(width, dtype=chunks.dtype)) & 1
-    return np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes()
+    raw = np.ascontiguousarray(chunks.astype("<u2")).view(np.uint8).reshape(-1, 2)
+    return np.packbits(np.unpackbits(raw, axis=1, count=width, bitorder="little").ravel(), bitorder="little").tobytes()
 
 
 def unpack(raw: bytes, skip: int, count: int, width: int) -> np.ndarray:
@@ -162,17 +163,49 @@ def _words_of(tokenizer: str) -> WordCache:
 
     model = Tokenizer.from_file(tokenizer)
 
+    suffix = json.loads(model.to_str())["model"].get("end_of_word_suffix") or ""
+    ends = np.zeros(model.get_vocab_size(), dtype=bool)
+    ends[[i for token, i in model.get_vocab().items() if suffix and token.endswith(suffix)]] = True
+
+    def one_by_one(words: list[str]) -> list[bytes]:
+        return [array("I", x.ids).tobytes() for x in model.encode_batch_fast(words, add_special_tokens=False)]
+
     def encode(words: list[bytes]) -> list[bytes]:
-        found = model.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+        """Words of letters only are encoded as one text, which is cheaper, and told apart by the tokens that end words."""
+        texts = [w.decode() for w in words]
+        letters = [k for k, t in enumerate(texts) if t.isalpha()]
+        others = [k for k, t in enumerate(texts) if not t.isalpha()]
+        found: list[bytes] = [b""] * len(words)
+        for start in range(0, len(letters), WORDS_A_TEXT):
+            part = letters[start : start + WORDS_A_TEXT]
+            ids = np.array(model.encode(" ".join(texts[k] for k in part), add_special_tokens=False).ids, dtype="<u4")
+            cuts = np.flatnonzero(ends[ids]) + 1
+            if len(cuts) == len(part):
+                raw, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
+                for k, a, b in zip(part, at, at[1:], strict=False):
+                    found[k] = raw[a:b]
+            else:
+                others += part
+        for k, raw in zip(others, one_by_one([texts[k] for k in others]), strict=True):
+            found[k] = raw
+        return found
 
     return WordCache(encode)
 
 
+# Between a letter or digit and a mark, where a word of this kind of tokenizer always ends.
+_WORD_END = re.compile(rb"([A-Za-z0-9])([!-/:-@\[-`{-~])")
+
+
 def tokenize(text: str, tokenizer: str, end: int) -> np.ndarray:
-    """Ids of a text and the end id. The tokenizer drops white space and never joins what it separates, so the ids of
-    a text are those of its words (split at ASCII white space) in a row; words that come again are not encoded again."""
-    raw = _words_of(tokenizer).join(text.encode().split())
+    """Ids of a text and the end id, by a tokenizer that drops white space, lowers case and ends words where letters or
+    digits end. The ids of a text are then those of its words in a row (split at ASCII white space and before marks;
+    special tokens hold marks, so texts with their opening are split at white space only), and words that come
+    again are not encoded again."""
+    whole = text.encode()
+    if b"<|" not in whole:
+        whole = _WORD_END.sub(rb"\1 \2", whole.lower())
+    raw = _words_of(tokenizer).join(whole.split())
     return np.append(np.frombuffer(raw, dtype="<u4"), np.uint32(end)).astype(np.uint32)
 
 

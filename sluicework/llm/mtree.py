@@ -39,7 +39,7 @@ def products(vectors: np.ndarray, query: np.ndarray, limit: float) -> np.ndarray
     if limit < 2.0**62:
         return vectors.astype(np.int64) @ query.astype(np.int64)
     exact = [sum(int(a) * int(b) for a, b in zip(v, query, strict=True)) for v in vectors]
-    return np.array([max(-LONG - 1, min(LONG, x)) for x in exact], dtype=np.int64)
+    return np.array([max(-LONG, min(LONG, x)) for x in exact], dtype=np.int64)
 
 
 @dataclass

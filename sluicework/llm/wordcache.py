@@ -4,29 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-# Together some 100 MB at most: longer words are worked out each time, and a full cache starts anew.
-MAX_WORDS = 400_000
+# Words of one generation; two are kept, some 100 MB at most. Longer words are worked out each time.
+GENERATION = 250_000
 MAX_LENGTH = 64
 
 
 class WordCache:
-    """Looks words up; ``encode`` gets all missing ones of a call at once."""
+    """Looks words up; ``encode`` gets all missing ones of a call at once.
+
+    When a generation is full it becomes the older one, and the one before it goes: words that keep coming are taken over
+    into the new one, rare ones are forgotten.
+    """
 
     def __init__(self, encode: Callable[[list], Iterable[bytes]]) -> None:
         self._encode = encode
         self._known: dict = {}
+        self._older: dict = {}
 
     def join(self, words: list) -> bytes:
         """The bytes of all words in a row."""
-        known = self._known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            missing = list({w for w in words if w not in known})
-        found = dict(zip(missing, self._encode(missing), strict=True))
-        result = b"".join([known[w] if w in known else found[w] for w in words])
-        if len(known) + len(found) > MAX_WORDS:
-            known.clear()
-        if len(found) <= MAX_WORDS:
-            known.update((w, b) for w, b in found.items() if len(w) <= MAX_LENGTH)
-        return result
+        parts = list(map(self._known.get, words))
+        if None not in parts:
+            return b"".join(parts)
+        needed = {w for w, part in zip(words, parts, strict=True) if part is None}
+        found = {w: self._older[w] for w in needed if w in self._older}
+        missing = [w for w in needed if w not in found]
+        found.update(zip(missing, self._encode(missing), strict=True))
+        if len(self._known) + len(found) > GENERATION:
+            self._older, self._known = self._known, {}
+        if len(found) <= GENERATION:
+            self._known.update((w, part) for w, part in found.items() if len(w) <= MAX_LENGTH)
+        return b"".join([found[w] if part is None else part for w, part in zip(words, parts, strict=True)])
