@@ -57,8 +57,8 @@ def display_number(c: Column, pattern: str, decimals: int = 0, missing: str = "
 
 
 def display_count(c: Column, missing: str = "—") -> Column:
-    """1234567 -> '1,234,567'."""
-    return display_number(c, "%s", 0, missing)
+    """1234567 -> '1,234,567'; decimals are cut off."""
+    return display_number(F.when(c < 0, F.ceil(c)).otherwise(F.floor(c)), "%s", 0, missing)
 
 
 def display_percent(c: Column, missing: str = "—") -> Column:

@@ -62,13 +62,17 @@ def existing_keys(incoming: DataFrame, target: DataFrame, key: str) -> DataFrame
     return incoming.select(key).distinct().join(target.select(key), key, "left_semi")
 
 
-def dedup_counts(incoming: DataFrame, target: DataFrame, key: str) -> DataFrame:
+def dedup_counts(incoming: DataFrame, target: DataFrame, key: str, rows: int | None = None) -> DataFrame:
     """One row: incoming, new (distinct keys), duplicate (further copies of new keys) and skipped rows.
 
-    Copies are counted before the join, so a hot key is one row there.
+    Copies are counted before the join, so a hot key is one row there. ``rows``, the counted size of the batch, lets a
+    small one visit the target, whose keys are then not shuffled but for the hits.
     """
     copies = incoming.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    flagged = copies.join(target.select(key, F.lit(True).alias("known")), key, "left")
+    known = target.select(key)
+    if rows is not None and rows <= SMALL_BATCH:
+        known = known.join(batch_keys(incoming, key, rows), key, "left_semi")
+    flagged = copies.join(known.withColumn("known", F.lit(True)), key, "left")
     is_new = F.col("known").isNull()
     return flagged.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("incoming"),

@@ -84,9 +84,11 @@ def count_values(df: DataFrame, column: str) -> DataFrame:
 def fill_from(base: DataFrame, curated: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Null fields of ``base`` take the curated value of the same key; ``filled`` marks the rows that changed.
 
-    ``curated`` has unique keys (see ``dedup.last_per_key``).
+    Of several curated rows with a key one counts: the last in the order of all its values, nulls first.
     """
-    offer = curated.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns])
+    order = F.struct(*(F.col(c) for c in columns))
+    single = curated.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(order).alias("_row")).select(key, "_row.*")
+    offer = single.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns])
     joined = base.join(offer, key, "left")
     changed = F.lit(False)
     filled: dict[str, Column] = {}

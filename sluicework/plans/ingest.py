@@ -21,7 +21,8 @@ from sluicework.operators.dedup import dedup_counts, filter_new, first_per_key
 from sluicework.operators.joins import fill_from
 from sluicework.operators.merge import missing_stubs
 from sluicework.plans.silver import bronze_fallback, to_silver
-from sluicework.sources.readers import ingest_bronze
+from sluicework.sources.mappings import sources
+from sluicework.sources.readers import REJECTS_DDL, ingest_bronze, read_rejects
 
 ARRIVAL_DDL = "arrival struct<source_rank: int, page: int, pos: int>"
 POSTINGS_DDL = (
@@ -54,6 +55,9 @@ class Store:
     def companies(self, spark: SparkSession) -> DataFrame:
         return self.read(spark, "companies", f"{schemas.COMPANIES_DDL}, ingest_run string")
 
+    def rejects(self, spark: SparkSession) -> DataFrame:
+        return self.read(spark, "rejects", f"{REJECTS_DDL}, ingest_run string")
+
     def run_events(self, spark: SparkSession) -> DataFrame:
         return self.read(spark, "runs", schemas.RUN_EVENTS_DDL)
 
@@ -108,16 +112,27 @@ def run_ingest(
     max_pages: int | None = None,
     run: str | None = None,
 ) -> str:
-    """One run: land Bronze, insert new postings, add company stubs, log counts. Returns the run's id."""
+    """One run: land Bronze, insert new postings, add company stubs, log counts. Returns the run's id.
+
+    What cannot be taken from the landed pages is stored with its reason beside Bronze, source by source, before the
+    rows are landed; a source whose files cannot be read fails there and is skipped. Records landed = fetched + rejected.
+    """
     run = run or uuid.uuid4().hex
     start = time.monotonic()
     log_run(spark, store, run, "running")
     try:
-        landed = ingest_bronze(spark, paths, fetched_at, max_pages)
+
+        def keep_rejects(name: str, feed: DataFrame) -> None:
+            left = read_rejects(spark, paths[name], sources()[name], max_pages)
+            # The source is a folder of its own within the run, so that a run that is repeated replaces it.
+            left.write.mode("overwrite").parquet(f"{store.path('rejects', run)}/feed={name}")
+
+        landed = ingest_bronze(spark, paths, fetched_at, max_pages, keep_rejects)
         batch = land_bronze(spark, landed, store, run)
         load_batch(spark, batch, store, run, curated)
         before = store.postings(spark).filter(F.col("ingest_run") != run)
-        counts = dedup_counts(batch, before, "job_id").first()
+        counts = dedup_counts(batch, before, "job_id", rows=batch.count()).first()
+        rejected = store.rejects(spark).filter(F.col("ingest_run") == run).agg(F.sum("records")).first()[0]
         stubs = store.companies(spark).filter(F.col("ingest_run") == run).count()
         log_run(
             spark,
@@ -130,10 +145,11 @@ def run_ingest(
             jobs_duplicate=counts["duplicate"],
             companies_added=stubs,
             duration_seconds=round(time.monotonic() - start, 2),
+            jobs_rejected=rejected or 0,
         )
     except Exception as error:
         took = round(time.monotonic() - start, 2)
-        log_run(spark, store, run, "failed", error_message=str(error)[:2000], duration_seconds=took)
+        log_run(spark, store, run, "failed", error_message=str(error), duration_seconds=took)
         raise
     return run
 

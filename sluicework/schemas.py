@@ -37,7 +37,7 @@ COMPANIES_DDL = (
 )
 RUN_EVENTS_DDL = (
     "run_id string, event_at timestamp, status string, jobs_fetched bigint, jobs_new bigint, jobs_skipped bigint, "
-    "jobs_duplicate bigint, companies_added bigint, error_message string, duration_seconds double"
+    "jobs_duplicate bigint, companies_added bigint, error_message string, duration_seconds double, jobs_rejected bigint"
 )
 
 JSEARCH_ITEM_DDL = (

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from sluicework import lookups, schemas
 from sluicework.sources.mappings import Source, sources
@@ -28,6 +30,33 @@ def read_pages(spark: SparkSession, path: str, source: Source, max_pages: int |
     return limit_pages(pages, max_pages)
 
 
+REJECTS_DDL = "source string, page int, reason string, text string, records long"
+
+
+def read_rejects(spark: SparkSession, path: str, source: Source, max_pages: int | None = None) -> DataFrame:
+    """What ``read_pages`` and the mapping of a source leave out, with its reason.
+
+    A line that is no JSON, or has no array of records (an error message, say), is given as it is and counts as one
+    record; of records without an id, their number on each page is given.
+    """
+    array = next(f.name for f in StructType.fromDDL(source.page_ddl) if isinstance(f.dataType, ArrayType))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    if "page" not in lines.columns:
+        lines = lines.withColumn("page", F.lit(1))
+    read = F.from_json("value", f"{source.page_ddl}, _corrupt string", options).alias("e")
+    lines = limit_pages(lines, max_pages).select(F.col("page").cast("int").alias("page"), "value", read)
+    broken, records = F.col("e._corrupt").isNotNull(), F.col(f"e.{array}")
+    reason = F.when(broken, "broken line").otherwise("no records")
+    texts = lines.filter(broken | records.isNull()).select("page", reason.alias("reason"), F.col("value").alias("text"), F.lit(1).cast("long").alias("records"))
+    whole = lines.filter(~broken & records.isNotNull()).select("page", "e.*").drop("_corrupt")
+    sent = whole.groupBy("page").agg(F.sum(F.size(array)).alias("sent"))
+    taken = source.mapping(whole).groupBy("page").agg(F.count(F.lit(1)).alias("taken"))
+    lost = sent.join(taken, "page", "left").select("page", (F.col("sent") - F.coalesce("taken", F.lit(0))).alias("records"))
+    lost = lost.filter("records > 0").select("page", F.lit("no id").alias("reason"), F.lit(None).cast("string").alias("text"), "records")
+    return texts.unionByName(lost).select(F.lit(source.name).alias("source"), "page", "reason", "text", "records")
+
+
 def limit_pages(pages: DataFrame, max_pages: int | None) -> DataFrame:
     """Keep the first ``max_pages`` pages of every crawl."""
     return pages if max_pages is None else pages.filter(F.col("page") <= max_pages)
@@ -50,17 +79,28 @@ def combine_sources(mapped: Sequence[DataFrame]) -> DataFrame:
 
 
 def ingest_bronze(
-    spark: SparkSession, paths: Mapping[str, str], fetched_at: Column | None = None, max_pages: int | None = None
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    fetched_at: Column | None = None,
+    max_pages: int | None = None,
+    check: Callable[[str, DataFrame], object] | None = None,
 ) -> DataFrame:
-    """Bronze rows of all sources that can be read; a source that fails is logged and skipped."""
+    """Bronze rows of all sources that can be read; a source that fails is logged and skipped.
+
+    Without ``check`` only a missing path shows in time. ``check`` gets each source's rows and may run them, so that a
+    source with files that cannot be read is skipped too.
+    """
     feeds = []
     for name, source in sources().items():
         if name not in paths:
             continue
         try:
             pages = read_pages(spark, paths[name], source, max_pages)
-            feeds.append(with_arrival(source.mapping(pages), source))
-        except PySparkException:
+            feed = with_arrival(source.mapping(pages), source)
+            if check is not None:
+                check(name, feed)
+            feeds.append(feed)
+        except (PySparkException, Py4JJavaError):
             logger.exception("source %s could not be read; it is skipped", name)
     if not feeds:
         raise ValueError("no source could be read")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,6 +13,11 @@ from sluicework.sources.mappings import Source
 from sluicework.sources.readers import with_arrival
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream of a checkpoint; it lives and goes with the checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def ingest_stream(
     spark: SparkSession,
     source: Source,
@@ -22,13 +29,14 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Insert new postings from page files that have not been read yet, then stop.
 
-    Each micro-batch is stored under its own number in overwrite mode, so a batch that runs again after a failure
-    replaces its own output.
+    Each micro-batch is stored under the stream's id and its own number in overwrite mode: a batch that runs again after
+    a failure replaces its own output, and a stream with a new checkpoint over the same store replaces nothing.
     """
     stamp = F.current_timestamp() if fetched_at is None else fetched_at
 
     def insert(batch: DataFrame, number: int) -> None:
-        session, run = batch.sparkSession, f"{source.name}-{number}"
+        session = batch.sparkSession
+        run = f"{source.name}-{stream_id(session, checkpoint)}-{number}"
         load_batch(session, land_bronze(session, batch, store, run), store, run)
 
     reader = spark.readStream.schema(source.page_ddl)
@@ -46,7 +54,9 @@ def ingest_stream(
 def drop_repeats(
     rows: DataFrame, key: str, time: str = "posted_at", delay: str = "15 days", spread: Column | None = None
 ) -> DataFrame:
-    """First row of each key within the watermark; the state holds one entry per key and ``delay``.
+    """One row of each key within the watermark; the state holds one entry per key and ``delay``.
+
+    The row comes from the first micro-batch that holds the key; which one of that batch is not promised.
 
     ``spread`` splits hot keys: repeats are dropped per (key, spread) first, so at most one row of each reaches the
     task that owns the key.

@@ -94,6 +94,29 @@ def ingest_bronze(t: Tables) -> DataFrame:
     )
 
 
+def _planted(t: Tables) -> DataFrame:
+    """Pages of one source, with lines that are cut short, error messages, and records without an id among them."""
+    good = payload(t, "theirstack")
+    cut = t.nation.select((F.col("n_regionkey") + 1).cast("int").alias("page"), F.concat(F.lit('{"data": [{"id": "'), "n_name").alias("value"))
+    errors = t.region.select((F.col("r_regionkey") + 1).cast("int").alias("page"), F.to_json(F.struct(F.col("r_name").alias("error"))).alias("value"))
+    nameless = F.to_json(F.struct(F.array(F.struct(F.col("s_name").alias("job_title"))).alias("data")))
+    without = t.supplier.select((F.col("s_nationkey") % 7 + 1).cast("int").alias("page"), nameless.alias("value"))
+    return good.select(F.col("page").cast("int").alias("page"), "value").unionByName(cut).unionByName(errors).unionByName(without)
+
+
+@query(
+    "SELECT 'theirstack' AS source, CAST(n_regionkey + 1 AS INTEGER) AS page, 'broken line' AS reason, "
+    """'{"data": [{"id": "' || n_name AS text, 1::BIGINT AS records FROM nation UNION ALL """
+    "SELECT 'theirstack', CAST(r_regionkey + 1 AS INTEGER), 'no records', "
+    """'{"error":"' || r_name || '"}', 1::BIGINT FROM region UNION ALL """
+    "SELECT 'theirstack', CAST(s_nationkey % 7 + 1 AS INTEGER), 'no id', NULL, count(*)::BIGINT FROM supplier GROUP BY 2"
+)
+def ingest_rejects(t: Tables) -> DataFrame:
+    """What the reader of landed pages leaves out: as many lines and records as were planted."""
+    path = t.stored("landing_planted", lambda: _planted(t), "text", "page")
+    return readers.read_rejects(t.spark, path, mappings.sources()["theirstack"])
+
+
 def _landed(t: Tables, max_pages: int | None = None) -> DataFrame:
     paths = {
         name: t.stored(f"landing_{name}", lambda n=name: payload(t, n), "text", "page") for name in mappings.sources()
@@ -305,7 +328,7 @@ def infer_flag_from_text(t: Tables) -> DataFrame:
 
 
 @query(
-    "SELECT o_orderkey, format('{:,}', CAST(round_even(o_totalprice, 0) AS BIGINT)) AS thousands, "
+    "SELECT o_orderkey, format('{:,}', CAST(trunc(o_totalprice) AS BIGINT)) AS thousands, "
     "'$' || format('{:,}', CAST(round_even(o_totalprice / 1000, 0) AS BIGINT)) || 'k' AS short, "
     "CASE WHEN o_orderstatus = 'P' THEN '—' ELSE CAST(round_even(o_orderkey % 1000 / 10, 0) AS BIGINT) || '%' END "
     "AS rate FROM orders"

@@ -37,15 +37,9 @@ class Tables:
         """Run portable SQL over the tables it names."""
         for name in NAMES:
             if f" {name}" in text:
-                self._spread(getattr(self, name)).createOrReplaceTempView(name)
+                getattr(self, name).createOrReplaceTempView(name)
         return self.spark.sql(text)
 
-    def _spread(self, table: DataFrame) -> DataFrame:
-        """Use all cores on a table that lies in fewer files than there are cores; larger tables are left alone."""
-        cores = self.spark.sparkContext.defaultParallelism
-        few = len(table.inputFiles()) < cores and self.spark.sparkContext.master.startswith("local")
-        return table.repartition(cores) if few else table
-
     @property
     def as_of(self):
         return F.lit(derive.AS_OF).cast("timestamp")
