@@ -90,11 +90,11 @@ def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "host", "path", F.when(F.col("tier") == 1, F.col("rule")).alias("rule"), "verdict")
 
 
-@query()
+@query(secrets.sql_twin())
 def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in all documents: certain spans, and weak ones beside their complement."""
     found = secrets.scan(table(spark, folder, "documents"))
-    counts = [F.size(F.filter("base", lambda s, r=r: s["rank"] == r)).cast("long").alias(f"n_{k}") for r, k in enumerate(secrets.KINDS[:3])]
+    counts = [secrets.count_of("base", kind).cast("long").alias(f"n_{kind}") for kind in secrets.KINDS[:3]]
     digest = F.sha2(secrets.shown(F.col("base")), 256).alias("base_sha256")
     return found.select("doc.doc_id", *counts, digest, secrets.shown(F.col("spans")).alias("spans"))
 

@@ -118,6 +118,12 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     return plain.select("doc", "base", F.col("base").alias("spans")).unionByName(linked)
 
 
+def count_of(spans: Column | str, kind: str) -> Column:
+    """How many spans are of a kind."""
+    rank = KINDS.index(kind)
+    return F.size(F.filter(spans, lambda s: s["rank"] == rank))
+
+
 def shown(spans: Column) -> Column:
     """Spans as text: kind:start:end, joined by commas."""
     names = F.array(*map(F.lit, KINDS))
@@ -135,3 +141,45 @@ def redacted(text: Column, spans: Column) -> Column:
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     rest = F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
     return F.when(F.size(spans) > 0, rest).otherwise(text)
+
+
+def sql_twin(table: str = "documents") -> str:
+    """DuckDB text of the digest of ``scan``: counts and hash of the certain spans, and all spans as text."""
+
+    def quoted(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    patterns = (ASSIGN, ACCESS, HEX, NAMED, BARE, ENDPOINT)
+    found = " UNION ALL ".join(
+        f"SELECT k, {r} AS rank, regexp_extract_all(t, {quoted(p)}, 0) AS hits, string_split_regex(t, {quoted(p)}) AS gaps, "
+        f"regexp_extract_all(t, {quoted(p)}, {2 if r == 0 else 0}) AS vals FROM d WHERE regexp_matches(t, {quoted(p)})"
+        for r, p in enumerate(patterns)
+    )
+    names = " ".join(f"WHEN {r} THEN '{name}'" for r, name in enumerate(KINDS))
+    gap = "greatest(p.s - w.e, w.s - p.e)"
+
+    def near(ranks: str) -> str:
+        return f"EXISTS (SELECT 1 FROM parts p WHERE p.k = w.k AND p.rank IN ({ranks}) AND {gap} <= {REACH})"
+
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM {table}),
+found AS ({found}),
+hits AS (SELECT k, rank, i, hits[i] AS hit, gaps[i] AS gap, vals[i] AS val
+    FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM found)),
+placed AS (SELECT k, rank, hit, val, (sum(length(gap)) OVER (PARTITION BY k, rank ORDER BY i)
+    + coalesce(sum(length(hit)) OVER (PARTITION BY k, rank ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS s
+    FROM hits),
+spans AS (SELECT k, rank, s, s + length(hit) AS e, hit, val FROM placed),
+base AS (SELECT k, rank, s, e FROM spans WHERE rank IN (1, 2) OR (rank = 0 AND length(val) >= {LEAST_VALUE})),
+weak AS (SELECT k, rank, s, e FROM spans w WHERE rank >= 3
+    AND (rank <> 4 OR (regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]')))
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.k = w.k AND b.s < w.e AND w.s < b.e)),
+parts AS (SELECT * FROM base UNION ALL SELECT * FROM weak),
+kept AS (SELECT *, rank < 3 AS sure FROM base UNION ALL SELECT *, false FROM weak w
+    WHERE (rank = 3 AND {near('0, 2, 4')}) OR (rank = 4 AND {near('1, 3')}) OR (rank = 5 AND {near('0, 2, 4')} AND {near('1, 3')})),
+shown AS (SELECT *, CASE rank {names} END || ':' || s || ':' || e AS span FROM kept)
+SELECT d.doc_id, count(*) FILTER (WHERE rank = 0) AS n_assign, count(*) FILTER (WHERE rank = 1) AS n_access,
+    count(*) FILTER (WHERE rank = 2) AS n_hex,
+    sha256(coalesce(string_agg(span, ',' ORDER BY s, rank) FILTER (WHERE sure), '')) AS base_sha256,
+    coalesce(string_agg(span, ',' ORDER BY s, rank) FILTER (WHERE span IS NOT NULL), '') AS spans
+FROM d LEFT JOIN shown ON shown.k = d.k GROUP BY d.k, d.doc_id"""

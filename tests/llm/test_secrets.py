@@ -105,3 +105,16 @@ def test_scan_runs_without_python(spark, kind):
 
 def test_empty_table(spark):
     assert secrets.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_sql_twin_equals_the_scan(spark, tmp_path):
+    """Over the awkward texts too, not only the test table."""
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(CASES)], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    got = con.execute(secrets.sql_twin()).fetchall()
+    expected = [(r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) for r in QUERIES["op5_secrets"](spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(expected)
