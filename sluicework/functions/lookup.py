@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# GetMapValue scans a literal map from the start, so larger tables belong in a join (see operators.joins.lookup_join).
-MAX_LITERAL_KEYS = 300
+# A literal map is scanned from the start, so larger tables are cut into maps of about so many keys by a checksum.
+KEYS_A_MAP = 64
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -31,8 +32,6 @@ def literal_array(values: Sequence[str]) -> Column:
 
 def literal_map(table: Mapping[str, str | int]) -> Column:
     """A constant map from texts to texts or whole numbers; Spark folds it to one literal."""
-    if len(table) > MAX_LITERAL_KEYS:
-        raise ValueError(f"{len(table)} keys: join a lookup table instead")
     values = literal_array([str(v) for v in table.values()])
     if all(isinstance(v, int) for v in table.values()):
         values = values.cast("array<int>")
@@ -40,8 +39,20 @@ def literal_map(table: Mapping[str, str | int]) -> Column:
 
 
 def lookup(key: Column, table: Mapping[str, str | int], default: Column | None = None) -> Column:
-    """Value of ``key`` in ``table``, else ``default`` (null when not given)."""
-    found = F.try_element_at(literal_map(table), key)
+    """Value of ``key`` in ``table``, else ``default`` (null when not given).
+
+    A table of any size is a constant of the plan; one that grows with the data belongs in a join
+    (see ``operators.joins.lookup_join``).
+    """
+    parts = -(-len(table) // KEYS_A_MAP)
+    if parts <= 4:
+        found = F.try_element_at(literal_map(table), key)
+    else:
+        cut: list[dict[str, str | int]] = [{} for _ in range(parts)]
+        for name, value in table.items():
+            cut[zlib.crc32(name.encode()) % parts][name] = value
+        maps = F.array(*(literal_map(part or {next(iter(table)): next(iter(table.values()))}) for part in cut))
+        found = F.try_element_at(F.get(maps, (F.crc32(key.cast("binary")) % parts).cast("int")), key)
     return found if default is None else F.coalesce(found, default)
 
 

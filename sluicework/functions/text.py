@@ -10,7 +10,7 @@ import re
 import unicodedata
 from collections.abc import Sequence
 from functools import lru_cache
-from html.entities import name2codepoint
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -46,58 +46,90 @@ def contains_any(c: Column, words: Sequence[str]) -> Column:
 
 # --- HTML to text ---------------------------------------------------------------------------------------------------
 
-_RAW_TEXT = r"<(script|style)\b[^>]*>(.*?)(?:</\1\s*>|\z)"
+_ATTRIBUTES = r"(?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+"
+_RAW_TEXT = rf"<(script|style)\b{_ATTRIBUTES}>(.*?)(?:</\1\s*>|\z)"
 _COMMENT = r"<!--.*?(?:-->|\z)"
 _DECLARATION = r"<!\[CDATA\[.*?\]\]>|<[!?][^>]*(?:>|\z)"
-_TAG = r"</?[a-zA-Z](?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+>|</?[a-zA-Z/][^>]*(?:>|\z)"
+_TAG = rf"</?[a-zA-Z]{_ATTRIBUTES}>|</?[a-zA-Z/][^>]*(?:>|\z)"
 _MARKUP = f"(?is){_COMMENT}|{_RAW_TEXT}|{_DECLARATION}|{_TAG}"
-_ENTITY = r"&#?[0-9a-zA-Z]{1,32};"
-_NOT_LONGER = r"(?![0-9a-zA-Z]{0,31};)"
-_AMPERSAND = rf"&(?:(?:amp|#0{{0,5}}38|#[xX]0{{0,5}}26);|amp{_NOT_LONGER})"
-# Names that count without their semicolon, unless they begin a longer name.
-_UNCLOSED = {"lt": "<", "gt": ">", "quot": '"', "nbsp": "\u00a0", "copy": "©", "reg": "®"}
-_FREQUENT = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&nbsp;": "\u00a0"}
-
-
-def _decode_entity(entity: Column) -> Column:
-    """``&eacute;`` or ``&#233;`` -> ``é``; an unknown entity is unchanged."""
-    named = literal_map({f"&{name};": chr(code) for name, code in name2codepoint.items() if name != "amp"})
-    hexa = F.regexp_extract(entity, r"\A&#[xX]([0-9a-fA-F]{1,6});\z", 1)
-    deci = F.regexp_extract(entity, r"\A&#([0-9]{1,7});\z", 1)
-    code = F.coalesce(F.conv(blank_to_null(hexa), 16, 10), blank_to_null(deci)).cast("int")
-    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    numeric = F.when(entity.startswith("&#") & valid, char)
-    return F.coalesce(F.try_element_at(named, entity), numeric, entity)
+# Set around the bodies of script and style while the rest is decoded; characters for private use.
+_RAW_START, _RAW_END = "", ""
+
+_REFERENCE = r"\A(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+_FREQUENT = {n: html5[n] for n in ("amp;", "lt;", "gt;", "quot;", "apos;", "nbsp;", "eacute;", "rsquo;", "ndash;", "bull;")}
+# Names that count without their semicolon, also at the beginning of other text.
+_UNCLOSED_NAMES = {n: html5[n] for n in sorted(html5, key=lambda n: (-len(n), n)) if not n.endswith(";")}
+_UNCLOSED = rf"\A(?:{'|'.join(_UNCLOSED_NAMES)})"
+# Numbers that stand for other characters, and numbers that stand for none, after the HTML standard.
+_REPLACED = {0: "�", 13: "\r"} | {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+_DROPPED = r"\A[\x01-\x08\x0b\x0e-\x1f\x7f\x{fdd0}-\x{fdef}]|[\x{fffe}\x{ffff}]|[\x{1fffe}\x{1ffff}\x{2fffe}\x{2ffff}\x{3fffe}\x{3ffff}]"
+
+
+def _numeric(reference: Column) -> Column:
+    """``#233;`` or ``#xE9;`` -> ``é``."""
+    digits = F.regexp_extract(reference, r"\A#[xX]?0*([0-9a-fA-F]*)", 1)
+    is_hex = F.lower(F.substring(reference, 2, 1)) == "x"
+    code = _code(digits, is_hex)
+    plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    replaced = lookup(code.cast("string"), {str(n): char for n, char in _REPLACED.items()})
+    none = code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+    return (
+        F.when(none, F.lit("�"))
+        .when((code <= 13) | code.between(0x80, 0x9F), F.coalesce(replaced, F.when(plain.rlike(_DROPPED), "").otherwise(plain)))
+        .otherwise(F.when(plain.rlike(_DROPPED), "").otherwise(plain))
+    )
+
+
+def _code(digits: Column, is_hex: Column) -> Column:
+    """The number, 0 for no digits, beyond all characters for very long ones."""
+    known = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).cast("int")
+    return F.when(F.length(digits) > 7, F.lit(0x110000)).when(digits == "", F.lit(0)).otherwise(known)
+
+
+def _named(reference: Column) -> Column:
+    """``eacute;`` -> ``é``; the longest name that may go unclosed at its beginning; else the text with its ampersand."""
+    known = F.coalesce(lookup(reference, _FREQUENT), lookup(reference, html5))
+    name = F.regexp_extract(reference, _UNCLOSED, 0)
+    begun = F.concat(lookup(name, _UNCLOSED_NAMES), F.substring(reference, F.length(name) + 1, F.length(reference)))
+    return F.coalesce(known, begun, F.concat(F.lit("&"), reference))
+
+
+def _decode_piece(piece: Column) -> Column:
+    """Text that followed an ampersand, with the reference at its beginning decoded."""
+    reference = F.regexp_extract(piece, _REFERENCE, 0)
+    rest = F.substring(piece, F.length(reference) + 1, F.length(piece))
+    shown = F.when(reference == "", F.lit("&")).when(reference.startswith("#"), _numeric(reference)).otherwise(_named(reference))
+    return F.concat(shown, rest)
 
 
 def decode_entities(c: Column) -> Column:
-    """Decode named (HTML 4) and numeric character references; text without ``&`` is passed through untouched.
+    """Decode named (HTML 5) and numeric character references as a browser does, in one pass from left to right.
 
-    References to the ampersand come last and together, so that ``&amp;lt;`` gives ``&lt;`` and not ``<``.
+    Text without ``&`` is passed through untouched. What a reference gives is not read again: ``&amp;lt;`` is ``&lt;``.
     """
-    return let(c, lambda text: F.when(text.contains("&"), _decode_references(text)).otherwise(text))
 
+    def decode(text: Column) -> Column:
+        pieces = F.split(text, "&", -1)
+        later = F.transform(F.slice(pieces, 2, F.size(pieces)), _decode_piece)
+        return F.when(text.contains("&"), F.concat(F.get(pieces, F.lit(0)), F.array_join(later, ""))).otherwise(text)
 
-def _decode_references(text: Column) -> Column:
-    for entity, char in _FREQUENT.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
+    return let(c, decode)
 
-    def decode_rest(common: Column) -> Column:
-        found = F.filter(
-            F.array_distinct(F.regexp_extract_all(common, F.lit(_ENTITY), F.lit(0))), lambda e: ~e.rlike(_AMPERSAND)
-        )
-        closed = F.reduce(found, common, lambda t, e: F.replace(t, e, _decode_entity(e)))
-        return let(closed, lambda t: F.when(t.rlike(f"&(?:{'|'.join(_UNCLOSED)}){_NOT_LONGER}"), unclosed(t)).otherwise(t))
 
-    def unclosed(t: Column) -> Column:
-        for name, char in _UNCLOSED.items():
-            t = F.regexp_replace(t, f"&{name}{_NOT_LONGER}", char)
-        return t
+def _without_markup(c: Column, drop_script: bool) -> Column:
+    """Markup to spaces and references decoded; the bodies of script and style stay as they are, or go."""
+    bare = F.when(c.contains("<"), F.regexp_replace(c, _MARKUP, " ")).otherwise(c)
+    if drop_script:
+        return decode_entities(F.replace(bare, F.lit("<"), F.lit(" < ")))
+    bodies = F.split(F.regexp_replace(c, _MARKUP, f" {_RAW_START}$2{_RAW_END} "), _RAW_START, -1)
+    parts = F.when(c.rlike(r"(?i)<(?:script|style)\b"), bodies).otherwise(F.array(bare))
 
-    rare = f"(?!{_AMPERSAND})(?:{_ENTITY}|&(?:{'|'.join(_UNCLOSED)}))"
-    others = let(text, lambda t: F.when(t.rlike(rare), decode_rest(t)).otherwise(t))
-    return F.regexp_replace(others, _AMPERSAND, "&")
+    def part(piece: Column) -> Column:
+        body = F.when(piece.contains(_RAW_END), F.substring_index(piece, _RAW_END, 1)).otherwise("")
+        after = F.when(piece.contains(_RAW_END), F.substring(piece, F.length(body) + 2, F.length(piece))).otherwise(piece)
+        return F.concat(body, decode_entities(F.replace(after, F.lit("<"), F.lit(" < "))))
+
+    return F.array_join(F.transform(parts, part), "")
 
 
 @F.pandas_udf(StringType())
@@ -129,8 +161,7 @@ def clean_html(c: Column, drop_script: bool = False, exact: bool = False) -> Col
     if exact:
         text = _parse_html(c)
     else:
-        body = "" if drop_script else " $2 "
-        text = decode_entities(F.when(c.contains("<"), F.regexp_replace(c, _MARKUP, f" {body} ")).otherwise(c))
+        text = _without_markup(c, drop_script)
     return blank_to_null(collapse_space(text))
 
 

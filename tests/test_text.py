@@ -10,6 +10,19 @@ from sluicework import lookups
 from sluicework.functions import text as X
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "a&#150;b &#146;x", "score<1 ok", "I <3 data", "caf&eacute ok, 5 &times 3", "x &ampcopy; y", "&check; &num;1 &colon;",
+        "<script>a &amp;&amp; b</script>", '<script data-x="a>b">y</script>', "&#0;z", "&#xD800;&#x110000;&#99999999999;",
+        "&notit; &amp;lt; &unknown; & &; &#; &#x; R&D", "&#x1;a&#127;b&#11;c&#65534;d", "&nbsp;&hearts;&#x1F600;&NotEqualTilde;",
+        "<style>p > a &gt; b</style><p>x &lt; y</p>", "<!-- <script>&amp; -->k", "&#000000000233;&#x00000000E9;", "&copy2024 &reg;&regx",
+    ],
+)
+def test_native_cleaning_equals_the_parser(apply, page):
+    assert apply(X.clean_html, [page]) == apply(lambda c: X.clean_html(c, exact=True), [page])
+
+
 def test_clean_html(apply):
     cases = {
         "<p>Bring <b>Go</b> along.</p>": "Bring Go along.",
