@@ -117,9 +117,11 @@ def test_display(apply):
     assert apply(L.display_percent, [42.5, 43.5, None], "double") == ["42%", "44%", "—"]
     assert apply(L.display_thousands, [81234.4, None], "double") == ["$81k", "—"]
     assert apply(L.display_count, [1234567, None], "bigint") == ["1,234,567", "—"]
+    assert apply(L.display_count, [1999.9, -1999.9], "double") == ["1,999", "-1,999"]
     assert apply(L.display_money, [1234.5], "double") == ["$1,234"]
 
 
-def test_lookup_limits():
-    with pytest.raises(ValueError):
-        L.literal_map({str(i): i for i in range(301)})
+@pytest.mark.parametrize("size", [1, 300, 5000])
+def test_lookup_in_tables_of_any_size(apply, size):
+    table = {f"é{i}": i for i in range(size)}
+    assert apply(lambda c: L.lookup(c, table), [f"é{size - 1}", "é0", "other", None]) == [size - 1, 0, None, None]
