@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from sluicework.llm.common import stored
 
 SCALE = 256
-PAGE, FANOUT = 128, 16
+PAGE, FANOUT = 512, 16
 TREE_ROWS = 4096  # vectors of a tree, about
 MOST_REGIONS = 256
 SAMPLE_ROWS = 2048  # bounded sample: routing objects of the regions, and a first bound for each query
@@ -135,9 +135,12 @@ def search(tree: Tree, query_id: int, query: np.ndarray, k: int, floor: float) -
         if not len(rows):
             continue
         scores = products(page.vectors[rows, :-1], query, limit)
-        if len(best) == k:
-            kept = scores >= -best[-1][0]
-            rows, scores = rows[kept], scores[kept]
+        # Of a page, only its own k best (and ties) that also reach the k-th so far can count.
+        least = max(floor, -best[-1][0] if len(best) == k else -np.inf, np.partition(scores, -k)[-k] if len(scores) > k else -np.inf)
+        kept = np.flatnonzero(scores >= least)
+        if not len(kept):
+            continue
+        rows, scores = rows[kept], scores[kept]
         best = sorted([*best, *zip((-scores).tolist(), page.ids[rows].tolist(), strict=True)])[:k]
         if len(best) == k:
             reach = min(reach, distance(-best[-1][0]))
