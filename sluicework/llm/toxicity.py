@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluicework.llm.common import lower_words
+from sluicework.llm.common import lower_words, stored
 
 
 
@@ -26,12 +26,14 @@ PREFIXES = (3, 5)
 # Words convolved at once: bounds the memory of a very long text.
 WORDS_AT_ONCE = 1 << 15
 MAX_KNOWN = 200_000
+# Bins of calibration for each unit of the logit.
+BINS_A_LOGIT = 256
 
 
 @dataclass(frozen=True)
 class Settings:
     """How the model is built. ``rows_a_class`` bounds the labelled sample that the driver trains on, and
-    ``longest`` leaves texts of more characters out of that sample (never out of scoring)."""
+    ``longest`` leaves texts of more characters out of that sample (never out of calibration or scoring)."""
 
     rows_a_class: int = 3000
     longest: int = 60_000
@@ -236,33 +238,22 @@ def train(texts: list[str], labels: list[int], settings: Settings) -> Model:
     return model
 
 
-def best_cut(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
-    """The score from which on rejecting gives the best F1; between two scores, the middle (of the logits)."""
+def best_cut(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray, highest: np.ndarray | None = None) -> float:
+    """The score from which on rejecting gives the best F1; between two scores, the middle (of the logits).
+
+    A row may stand for several: as many as it weighs, with scores from its own up to its ``highest``.
+    """
     order = np.argsort(-scores, kind="stable")
     s, y, w = scores[order], labels[order] * weights[order], weights[order]
+    top = s if highest is None else highest[order]
     hits, taken = np.cumsum(y), np.cumsum(w)
     ends = np.append(s[1:] != s[:-1], True)
     f1 = np.where(ends, 2 * hits / (taken + y.sum() + 1e-12), -1)
     at = int(f1.argmax())
-    logit = [float(np.log(max(x, 1e-12) / max(1 - x, 1e-12))) for x in (s[at], s[at + 1] if at + 1 < len(s) else s[at] / 2)]
+    logit = [float(np.log(max(x, 1e-12) / max(1 - x, 1e-12))) for x in (s[at], top[at + 1] if at + 1 < len(s) else s[at] / 2)]
     return float(1 / (1 + np.exp(-sum(logit) / 2)))
 
 
-def calibrate(model: Model, texts: list[str], labels: list[int], langs: list[str], weights: list[float], settings: Settings) -> None:
-    """Shift the model's bias so that 0.5 is its best cut over all, then set the cut of each language with rows enough."""
-    y, w = np.array(labels), np.array(weights, dtype=float)
-    if model.prior is not None or len(set(labels)) < 2:
-        return
-    scores = score_texts(texts, model)
-    cut = best_cut(scores, y, w)
-    model.out_bias -= float(np.log(cut / (1 - cut)))
-    scores = score_texts(texts, model)
-    for lang in sorted(set(langs)):
-        own = np.array([x == lang for x in langs])
-        if min((y[own] == 1).sum(), (y[own] == 0).sum()) >= settings.least_rows:
-            model.thresholds[lang] = best_cut(scores[own], y[own], w[own])
-
-
 # --- Spark ------------------------------------------------------------------------------------------------------------
 
 
@@ -271,35 +262,66 @@ def fold(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5, F.lit(0))
 
 
+def _cut(rows: list) -> float:
+    """Best cut over counted bins ``(bin, low, high, good, bad)``."""
+    low, high = (np.repeat([r[k] for r in rows], 2) for k in ("low", "high"))
+    return best_cut(low, np.tile([0, 1], len(rows)), np.array([[r.good, r.bad] for r in rows], dtype=float).ravel(), high)
+
+
+def calibrate(model: Model, docs: DataFrame, labels: DataFrame, settings: Settings) -> None:
+    """Shift the model's bias so that 0.5 is its best cut over all, then set the cut of each language with rows enough.
+
+    All rows of ``labels`` (``doc_id``, ``toxic``) count, by whole texts of any length. Only counts by bins of the
+    logit reach the driver, with the lowest and the highest score in each: cuts lie between bins.
+    """
+    if model.prior is not None:
+        return
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("")).alias("lang"))
+    rows = rows.filter(fold(F.col("doc_id")) == 1)
+    # Texts stay where they are: of repeated documents the first counts, by its beginning and a hash.
+    rows = rows.select("doc_id", F.struct(F.substring("text", 1, 100).alias("a"), F.xxhash64("text").alias("b"), "lang", score(rows, model).alias("score")).alias("t"))
+    rows = rows.groupBy("doc_id").agg(F.min("t").alias("t")).join(labels, "doc_id").select("t.lang", "t.score", "toxic")
+    held = F.least(F.greatest(F.col("score"), F.lit(1e-12)), F.lit(1 - 1e-12))
+    place = F.floor(F.log(held / (1 - held)) * BINS_A_LOGIT)
+    measures = [F.min("low").alias("low"), F.max("high").alias("high"), F.sum("good").alias("good"), F.sum("bad").alias("bad")]
+    rows = rows.select("lang", place.alias("bin"), F.col("score").alias("low"), F.col("score").alias("high"), (1 - F.col("toxic")).alias("good"), F.col("toxic").alias("bad"))
+    bins = stored(rows.groupBy("lang", "bin").agg(*measures), "bins")
+    everything = bins.groupBy("bin").agg(*measures).orderBy("bin").collect()
+    if not sum(r.good for r in everything) or not sum(r.bad for r in everything):
+        return
+    cut = _cut(everything)
+    shift = float(np.log(cut / (1 - cut)))
+    model.out_bias -= shift
+    enough = bins.groupBy("lang").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    enough = enough.filter(F.least("good", "bad") >= settings.least_rows).select("lang")
+    own: dict[str, list] = {}
+    for r in bins.join(enough, "lang", "left_semi").collect():
+        own.setdefault(r.lang, []).append(r)
+    for lang, found in sorted(own.items()):
+        cut = _cut(sorted(found, key=lambda r: r.bin))
+        model.thresholds[lang] = float(1 / (1 + np.exp(shift - np.log(cut / (1 - cut)))))
+
+
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
     """Train on folds 2 to 4 and calibrate on fold 1 of the labelled rows; fold 0 is never looked at.
 
-    The sample is bounded: of each class, and for training and calibration apart, the ``rows_a_class`` labelled rows
-    that come first in the order of a hash of their id. Labels other than 0 and 1, and rows without an id, are left out;
-    a document labelled twice counts as toxic if one label says so; of repeated documents the first text counts.
+    The training sample is bounded: of each class, the ``rows_a_class`` labelled rows that come first in the order of a
+    hash of their id, without texts over ``longest``. Calibration takes all labelled rows of its fold. Labels other than
+    0 and 1, and rows without an id, are left out; a document labelled twice counts as toxic if one label says so; of
+    repeated documents the first text counts.
     """
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     rows = rows.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").filter(fold(F.col("doc_id")) != 0)
-    rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("held", fold(F.col("doc_id")) == 1)
-    sizes = {(r[0], r[1]): r[2] for r in rows.groupBy("held", "toxic").count().collect()}
-    parts = [
-        rows.filter((F.col("held") == held) & (F.col("toxic") == toxic)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.rows_a_class)
-        for held in (False, True)
-        for toxic in (0, 1)
-    ]
-    chosen = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    held = fold(F.col("doc_id")) == 1
+    parts = [rows.filter(~held & (F.col("toxic") == toxic)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.rows_a_class) for toxic in (0, 1)]
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("")).alias("lang"))
     texts = texts.filter(F.length("text") <= settings.longest)
-    # At most four times rows_a_class ids.
-    found = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic", "held").agg(F.min(F.struct("text", "lang")).alias("t"))
-    sample = sorted(found.select("doc_id", "toxic", "held", "t.text", "t.lang").collect())
-    learn = [r for r in sample if not r.held]
-    check = [r for r in sample if r.held]
+    # At most twice rows_a_class ids.
+    found = texts.join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.struct("text", "lang")).alias("t"))
+    learn = sorted(found.select("doc_id", "toxic", "t.text").collect())
     model = train([r.text for r in learn], [r.toxic for r in learn], settings)
-    # The sample holds as many of each class; weights bring back the share that the labelled rows have.
-    taken = {t: max(1, sum(r.toxic == t for r in check)) for t in (0, 1)}
-    weights = [sizes.get((True, r.toxic), 1) / taken[r.toxic] for r in check]
-    calibrate(model, [r.text for r in check], [r.toxic for r in check], [r.lang for r in check], weights, settings)
+    calibrate(model, docs, rows.filter(held), settings)
     return model
 
 

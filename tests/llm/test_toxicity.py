@@ -84,3 +84,23 @@ def test_messy_rows(spark):
     none = T.toxicity(messy(spark), labels.filter("false")).collect()
     assert {(r.score, r.rejected) for r in none} == {(0.0, False)}
     assert T.toxicity(empty(spark), labels).count() == 0
+
+
+def test_calibration_takes_all_labelled_rows_and_long_texts(spark):
+    """More rows than the training sample may hold, and a language whose texts are all longer than it allows."""
+    ids = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 5 == 1 or i % 8 < 2]
+    rows = [(i, ("stupid idiots " if i % 2 else "calm things ") * (1 if i % 3 else 60) + f"number {i % 7}", "en" if i % 3 else "xx") for i in ids]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    settings = T.Settings(rows_a_class=30, longest=200)
+    model = T.fit(docs, labels, settings)
+    assert set(model.thresholds) == {"en", "xx"}
+    # The cuts are the best ones over every row of the fold.
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 1]
+    scores, y = T.score_texts([t for _, t, _ in held], model), np.array([i % 2 for i, *_ in held])
+    for lang in ("en", "xx"):
+        own = np.array([x == lang for *_, x in held])
+        best = T.best_cut(scores[own], y[own], np.ones(own.sum()))
+        assert np.array_equal(scores[own] >= model.thresholds[lang], scores[own] >= best)
+    best = T.best_cut(scores, y, np.ones(len(y)))
+    assert np.array_equal(scores >= 0.5, scores >= best)
