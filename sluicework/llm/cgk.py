@@ -1,10 +1,12 @@
 """Benchmark decontamination: windows of a document within a small edit distance of a benchmark item.
 
-Texts are compared as their lower-case words joined by single blanks. A window has as many words as the item and starts
-where a run of seed words says that the item would start. Windows and items are embedded by CGK random walks (at each
-step the walk shows a character and moves on or stays, as a random bit for this step and character says), so that a
-small edit distance becomes a small Hamming distance; windows that agree with an item in one of many samples of
-positions are verified by their exact edit distance.
+Texts are compared as their lower-case words joined by single blanks. An item that may have k edits is cut into k + 1
+pieces; whatever the edits are, one piece stands unchanged within k characters of its place. So windows start near
+where a piece of an item says that it would, at words, and within runs of scripts without blanks at any character. A
+bound on shared grams of characters drops places that cannot be near enough; the rest is verified by exact edit distance.
+Windows and items are also embedded by CGK random walks (at each step the walk shows a character and moves on or stays,
+as a random bit for this step and character says), so that a small edit distance becomes a small Hamming distance;
+further items that agree with a window in one of many samples of positions are verified, too. Samples only add.
 """
 
 from __future__ import annotations
@@ -12,7 +14,6 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,18 +28,21 @@ CLASSES = 128  # of characters, by code point; only the walks use them
 WINDOWS_AT_ONCE = 2048
 ITEM_CHARS_A_PASS = 8_000_000
 KNOWN_WINDOWS = 50_000
+# Of a hash, looked up in a table of marks before the sorted hashes.
+MARK_BITS = 20
+# Characters of the grams by which places are bounded, and bins that their counts are folded into.
+BOUNDS = (5, 3)
+GRAM_BITS = 11
+GRAM_BINS = 1 << GRAM_BITS
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``edits`` is the share of an item's characters that may be edited. A window is looked at when ``seed`` words in
-    a row are those of the item: always so when at most a (seed + 1)th of its words, less one, are touched. The chance that an
-    embedded pair at Hamming distance h meets is 1 - (1 - (1 - h)^sample)^(walks * samples): above 0.99 for h up to 0.6
-    if samples were independent."""
+    """``edits`` is the share of an item's characters that may be edited. The chance that an embedded pair at Hamming
+    distance h meets is 1 - (1 - (1 - h)^sample)^(walks * samples): above 0.99 for h up to 0.6 if samples were
+    independent."""
 
     edits: float = 0.1
-    seed: int = 3
-    shift: int = 1  # words that edits before the seed may have joined or split
     walks: int = 6
     samples: int = 12
     sample: int = 3
@@ -74,6 +78,47 @@ def _pairs(text: str) -> np.ndarray:
     return np.bincount((codes[:-1] * 37 + codes[1:]) % 1021, minlength=1021)
 
 
+# Scripts without blanks between words, as ranges of code points.
+_RUNS = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+
+
+def _starts(codes: np.ndarray) -> np.ndarray:
+    """Characters where a window may start: those after a blank, and all of scripts without blanks."""
+    starts = np.append(True, codes[:-1] == 32)
+    if len(codes) and codes.max() >= _RUNS[0][0]:
+        for low, high in _RUNS:
+            starts |= (codes >= low) & (codes <= high)
+    return np.flatnonzero(starts[: len(codes)])
+
+
+def _grams(codes: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all strings of ``size`` characters, put together from those of 1, 2, 4 and so on."""
+    count, times = len(codes) - size + 1, np.uint64(0x9E3779B97F4A7C15)
+    found = np.zeros(max(count, 0), dtype=np.uint64)
+    if count <= 0:
+        return found
+    part, width, covered = codes.astype(np.uint64), 1, 0
+    while width <= size:
+        if size & width:
+            found = found * times + part[covered : covered + count] if covered else part[:count]
+            covered += width
+        if 2 * width <= size:
+            part = part[:-width] * times + part[width:]
+            part ^= part >> np.uint64(29)
+        width *= 2
+    found = (found ^ (found >> np.uint64(32))) * times
+    return found ^ (found >> np.uint64(31))
+
+
+def _bins(codes: np.ndarray, size: int) -> np.ndarray:
+    """All strings of ``size`` characters, folded into some bins."""
+    return (_grams(codes, size) >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
+
+
 def _joined(words: list[bytes]) -> str:
     return b" ".join(words).decode("utf-8", "surrogatepass")
 
@@ -85,26 +130,29 @@ class Matcher:
         self.settings = settings
         split = [(item, lower_words(text or "")) for item, text in items]
         self.items = [(item, words, _joined(words)) for item, words in split if words]
-        vocabulary: dict[bytes, int] = {}
-        postings: dict[tuple[int, ...], set[tuple[int, int]]] = defaultdict(set)
-        for _, words, _ in self.items:
-            ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words]
-            n = min(settings.seed, len(ids))
-            for offset in range(len(ids) - n + 1):
-                postings[tuple(ids[offset : offset + n])].add((len(ids), offset))
-        self.vocabulary = vocabulary
-        # Per length of seeds: sorted codes and what each of them says: (words of the window, offset) pairs.
-        self.seeds: dict[int, tuple[np.ndarray, list[list[tuple[int, int]]]]] = {}
-        for n in {len(k) for k in postings}:
-            coded = sorted((self._code(k), sorted(v)) for k, v in postings.items() if len(k) == n)
-            self.seeds[n] = np.array([c for c, _ in coded], dtype=np.uint64), [v for _, v in coded]
+        self.most = [int(settings.edits * len(text)) for *_, text in self.items]
+        pieces: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+        for i, (_, _, text) in enumerate(self.items):
+            count, codes = self.most[i] + 1, _codes(text)
+            size = len(text) // count
+            grams = _grams(codes, size)
+            pieces[size].extend((int(grams[at]), i, at) for at in (j * len(text) // count for j in range(count)))
+        # Per size of pieces: marks of hashes' high bits, sorted hashes, and for each its item and offset.
+        self.pieces: dict[int, tuple[np.ndarray, ...]] = {}
+        for size, found in pieces.items():
+            found.sort()
+            hashes = np.array([h for h, *_ in found], dtype=np.uint64)
+            marks = np.zeros(1 << MARK_BITS, dtype=bool)
+            marks[hashes >> np.uint64(64 - MARK_BITS)] = True
+            self.pieces[size] = marks, hashes, np.array([i for _, i, _ in found]), np.array([at for *_, at in found])
         self.by_words: dict[int, list[int]] = defaultdict(list)
         for i, (_, words, _) in enumerate(self.items):
             self.by_words[len(words)].append(i)
         self.masks = [self._masks(text) for *_, text in self.items]
         self.pairs = [_pairs(text) for *_, text in self.items]
+        self.grams = [[np.bincount(_bins(_codes(text), g), minlength=GRAM_BINS).astype(np.int16) for g in BOUNDS] for *_, text in self.items]
         self._prepare_samples()
-        self._known: dict[tuple[int, str, str], list[tuple[int, int]]] = {}
+        self._known: dict[tuple[int, str, str], tuple[set[int], list[tuple[int, int]]]] = {}
 
     @staticmethod
     def _masks(text: str) -> dict[str, int]:
@@ -113,12 +161,6 @@ class Matcher:
             masks[c] |= 1 << i
         return dict(masks)
 
-    def _code(self, ids: tuple[int, ...]) -> int:
-        code = 0
-        for x in ids:
-            code = (code * (len(self.vocabulary) + 1) + x) % (1 << 64)
-        return code
-
     # --- embeddings ---------------------------------------------------------------------------------------------------
 
     def _prepare_samples(self) -> None:
@@ -166,28 +208,39 @@ class Matcher:
 
     # --- matching -----------------------------------------------------------------------------------------------------
 
-    def _windows(self, words: list[bytes]) -> set[tuple[int, int]]:
-        """(start, words) of the windows that seeds point to."""
-        ids = np.fromiter(map(self.vocabulary.get, words, repeat(0)), dtype=np.uint64, count=len(words))
-        found = set()
-        for n, (codes, says) in self.seeds.items():
-            if len(ids) < n:
-                continue
-            count = len(ids) - n + 1
-            code, whole = np.zeros(count, dtype=np.uint64), np.ones(count, dtype=bool)
-            for k in range(n):
-                code = code * np.uint64(len(self.vocabulary) + 1) + ids[k : k + count]
-                whole &= ids[k : k + count] > 0
-            places = np.flatnonzero(whole)
-            at = np.minimum(np.searchsorted(codes, code[places]), len(codes) - 1)
-            for place, c in zip(places[codes[at] == code[places]].tolist(), at[codes[at] == code[places]].tolist(), strict=True):
-                for size, offset in says[c]:
-                    found.update((max(0, place - offset + s), size) for s in range(-self.settings.shift, self.settings.shift + 1))
+    def _places(self, codes: np.ndarray) -> list[tuple[int, int, int]]:
+        """``(item, first, last)``: ranges of characters where an item may start."""
+        found: list[tuple[int, int, int]] = []
+        if not len(codes):
+            return found
+        bins: list[np.ndarray] = []
+        most, lengths = np.array(self.most), np.array([len(text) for *_, text in self.items])
+        for size, (marks, hashes, items, offsets) in self.pieces.items():
+            grams = _grams(codes, size)
+            at = np.flatnonzero(marks[grams >> np.uint64(64 - MARK_BITS)])
+            low, high = np.searchsorted(hashes, grams[at], "left"), np.searchsorted(hashes, grams[at], "right")
+            counts = high - low
+            rows = np.repeat(low - np.append(0, np.cumsum(counts)[:-1]), counts) + np.arange(counts.sum())
+            item, start = items[rows], np.repeat(at, counts) - offsets[rows]
+            # Starts go by stretches of k + 1 characters.
+            stretch = start // (most[item] + 1)
+            for key in np.unique((item << 40) + stretch + (1 << 39)).tolist() if len(item) else ():
+                i, s = key >> 40, (key & ((1 << 40) - 1)) - (1 << 39)
+                k, n = int(most[i]), int(lengths[i])
+                first, last = max(0, s * (k + 1) - k), s * (k + 1) + 2 * k
+                bins = bins or [_bins(codes, g) for g in BOUNDS]
+                # An edit takes away as many grams as they have characters at most.
+                if last >= 0 and all(
+                    np.maximum(own - np.bincount(all_of[first : max(first, last + n + k - g + 1)], minlength=GRAM_BINS), 0).sum() <= g * k
+                    for g, own, all_of in zip(BOUNDS, self.grams[i], bins, strict=True)
+                ):
+                    found.append((i, first, last))
         return found
 
-    def _match(self, texts: list[tuple[int, str, str]]) -> list[list[tuple[int, int]]]:
-        """For windows (words of the item, text, text and what follows): the items within the allowed distance of the
-        window, or of one that ends somewhat later or earlier, as (item, distance)."""
+    def _match(self, texts: list[tuple[int, str, str]], named: list[set[int]]) -> list[list[tuple[int, int]]]:
+        """For windows (words of the item, text, text and what follows), with the items whose pieces name them: the
+        items within the allowed distance of the window, or of one that ends somewhat later or earlier, as (item,
+        distance)."""
         embedded = self.embed([text for _, text, _ in texts])
         results: list[list[tuple[int, int]]] = [[] for _ in texts]
         sizes = np.array([n for n, *_ in texts])
@@ -197,14 +250,16 @@ class Matcher:
             keys = self._keys(embedded[rows], n)
             marked = keys ^ np.arange(keys.shape[1], dtype=np.uint64)
             at = np.minimum(np.searchsorted(sorted_keys, marked), len(sorted_keys) - 1)
-            meet: dict[int, set[int]] = defaultdict(set)
+            meet: dict[int, set[int]] = {int(row): set(named[row]) for row in rows}
             for r, band in zip(*np.nonzero(sorted_keys[at] == marked), strict=True):
                 meet[int(rows[r])].update(table.get((int(band), int(keys[r, band])), ()))
             for row, candidates in meet.items():
                 pairs = _pairs(texts[row][2])
                 for i in sorted(candidates):
                     pattern = self.items[i][2]
-                    most = int(self.settings.edits * len(pattern))
+                    most = self.most[i]
+                    if not most and not self._whole(pattern, texts[row][2]):
+                        continue
                     # An edit takes away two pairs of neighbours at most.
                     if np.maximum(self.pairs[i] - pairs, 0).sum() > 2 * most:
                         continue
@@ -213,10 +268,15 @@ class Matcher:
                         results[row].append((i, distance))
         return results
 
+    @staticmethod
+    def _whole(pattern: str, text: str) -> bool:
+        """Whether a text begins with a pattern that ends where a word does."""
+        return text.startswith(pattern) and len(pattern) in (len(text), *_starts(_codes(text)).tolist(), text.find(" ", len(pattern)))
+
     def hits(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
         """For each text, ``(item index, first word, end word, distance)`` of every item in it: its best window."""
         best: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
-        waiting: dict[tuple[int, str, str], list[tuple[int, int, int]]] = defaultdict(list)
+        waiting: dict[tuple[int, str, str], tuple[set[int], list[tuple[int, int, int]]]] = {}
 
         def settle(places: list[tuple[int, int, int]], found: list[tuple[int, int]]) -> None:
             for doc, start, end in places:
@@ -225,21 +285,38 @@ class Matcher:
 
         def flush() -> None:
             windows = list(waiting)
-            for window, found in zip(windows, self._match(windows), strict=True):
-                settle(waiting[window], found)
-                self._known[window] = found
+            matched = self._match(windows, [waiting[w][0] for w in windows])
+            for window, found in zip(windows, matched, strict=True):
+                settle(waiting[window][1], found)
+                self._known[window] = waiting[window][0], found
             waiting.clear()
 
         for doc, text in enumerate(texts):
             words = lower_words(text)
-            for start, size in self._windows(words):
-                end = min(len(words), start + size)
-                later = end + int(self.settings.edits * size) + 1
-                window = size, _joined(words[start:end]), _joined(words[start:later])
-                if window in self._known:
-                    settle([(doc, start, end)], self._known[window])
+            joined = _joined(words)
+            codes = _codes(joined)
+            places = self._places(codes)
+            if not places:
+                continue
+            starts, blanks = _starts(codes), np.flatnonzero(codes == 32)
+            seen: dict[tuple[int, str, str], tuple[set[int], set[tuple[int, int, int]]]] = {}
+            for i, first, last in places:
+                size, length = len(self.items[i][1]), len(self.items[i][2])
+                for at in starts[np.searchsorted(starts, first) : np.searchsorted(starts, last, "right")].tolist():
+                    word = int(np.searchsorted(blanks, at))
+                    # One character more shows whether a word ends.
+                    window = size, joined[at : at + length], joined[at : at + length + self.most[i] + 1]
+                    named, where = seen.setdefault(window, (set(), set()))
+                    named.add(i)
+                    where.add((doc, word, min(len(words), word + size)))
+            for window, (named, where) in seen.items():
+                known = self._known.get(window)
+                if known and named <= known[0]:
+                    settle(list(where), known[1])
                 else:
-                    waiting[window].append((doc, start, end))
+                    both = waiting.setdefault(window, (set(), []))
+                    both[0].update(named)
+                    both[1].extend(where)
             if len(waiting) >= WINDOWS_AT_ONCE:
                 flush()
             if len(self._known) > KNOWN_WINDOWS:

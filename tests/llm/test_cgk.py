@@ -95,3 +95,30 @@ def test_a_large_benchmark_takes_several_passes(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in cgk.contaminated(docs, items).collect()} == {
         (r.doc_id, r.item_id) for r in QUERIES["op9_decontamination"](spark, FOLDER).collect()
     }
+
+
+def test_edits_in_each_third_word_and_up_to_the_bound(spark):
+    """No three words in a row are left, and the edits are as many as may be."""
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    matcher, random = cgk.Matcher(items), np.random.default_rng(9)
+    texts, within = [], []
+    for _, words, pattern in matcher.items:
+        texts.append("before it " + " ".join(w.decode() + "z" * (k % 3 == 0) for k, w in enumerate(words)) + " after")
+        within.append(-(-len(words) // 3) <= int(0.1 * len(pattern)))
+    for _, _, pattern in matcher.items:
+        chars = list(pattern)
+        for at in random.choice(np.arange(1, len(chars)), int(0.1 * len(chars)), replace=False):
+            chars[int(at)] = "q"
+        texts.append("before it " + "".join(chars) + " after")
+        within.append(True)
+    assert any(within[: len(matcher.items)])
+    hits = matcher.hits(texts)
+    assert all(any(h[0] == i % len(matcher.items) for h in own) for i, own in enumerate(hits) if within[i])
+
+
+def test_lost_blanks_before_the_first_words_and_scripts_without_blanks():
+    item = "a b c d e f g h then comes a long and ordinary line of many words that nobody ever changed at all, not even once in its life"
+    run = "日本語の文章には単語の間に空白がないので項目は長い文字列の中に現れることがあります"
+    matcher = cgk.Matcher([(1, item), (2, run), (3, "word")])
+    hits = matcher.hits(["so: abcdefgh" + item[15:] + " and more", "これは前の文で" + run + "そして続きます", "wordy words", "a word here"])
+    assert [[h[0] for h in own] for own in hits] == [[0], [1], [], [2]]
