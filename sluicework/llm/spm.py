@@ -16,6 +16,7 @@ from math import inf
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,8 @@ BLANK = "▁"
 # Scores are multiples of this, so that sums are exact and ties are ties on every machine.
 GRAIN = 1 / 256
 UNKNOWN_PENALTY = 10.0
+# Texts held as Python strings at once, with their ids: some ten times this in memory. A longer text is held alone.
+BYTES_AT_ONCE = 1 << 20
 
 
 class Pieces:
@@ -161,17 +164,39 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+def _slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The texts of Arrow batches, so many at a time that they hold no more than ``BYTES_AT_ONCE``, or one text."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends, start = np.cumsum(sizes), 0
+        while start < len(batch):
+            before = int(ends[start - 1]) if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + BYTES_AT_ONCE, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
+def _lists(found: list[np.ndarray | None]) -> pa.ListArray:
+    offsets = np.cumsum([0, *(0 if x is None else len(x) for x in found)]).astype(np.int32)
+    values = np.concatenate([np.zeros(0, np.int32), *(x for x in found if x is not None)])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()), mask=pa.array([x is None for x in found]))
+
+
+def _texts(ids: pa.ListArray, known: Codec) -> pa.Array:
+    """Row by row from the flat values: Python numbers for all ids of a batch would take a hundred times a row's."""
+    values, valid = ids.values.fill_null(-1).to_numpy(), ids.is_valid().to_pylist()
+    ends = ids.offsets.to_numpy()
+    rows = (values[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True))
+    return pa.array((known.decode(row[row >= 0].tolist()) if ok else None for row, ok in zip(rows, valid, strict=True)), pa.string())
+
+
 def encode(path: str, text: Column) -> Column:
     """Array of the ids of a text column; null stays null, an empty text has no ids."""
 
     @F.arrow_udf("array<int>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            found = [None if t is None else codec(path).encode(t) for t in batch.to_pylist()]
-            offsets = np.cumsum([0, *(0 if x is None else len(x) for x in found)]).astype(np.int32)
-            values = np.concatenate([np.zeros(0, np.int32), *(x for x in found if x is not None)])
-            missing = pa.array([x is None for x in found])
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()), mask=missing)
+        for part in _slices(batches):
+            yield _lists([None if t is None else codec(path).encode(t) for t in part.to_pylist()])
 
     return run(text)
 
@@ -182,16 +207,27 @@ def decode(path: str, ids: Column) -> Column:
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            # Row by row from the flat values: Python numbers for all ids of a batch would take a hundred times a row's.
-            values, known = batch.values.fill_null(-1).to_numpy(), batch.is_valid().to_pylist()
-            ends = batch.offsets.to_numpy()
-            rows = (values[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True))
-            texts = (codec(path).decode(row[row >= 0].tolist()) if ok else None for row, ok in zip(rows, known, strict=True))
-            yield pa.array(texts, pa.string())
+            yield _texts(batch, codec(path))
 
     return run(ids)
 
 
+def recode(path: str, text: Column) -> Column:
+    """Struct of the ``ids`` of a text column and the text ``decoded`` from them, both null for a null text.
+
+    One Python worker a task does both, with one automaton and one cache, and holds the texts of one slice as Python
+    strings at a time; other columns of the table do not reach it.
+    """
+
+    @F.arrow_udf("ids array<int>, decoded string")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in _slices(batches):
+            ids = _lists([None if t is None else codec(path).encode(t) for t in part.to_pylist()])
+            yield pa.StructArray.from_arrays([ids, _texts(ids, codec(path))], names=["ids", "decoded"])
+
+    return run(text)
+
+
 def round_trip(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``(doc_id, ids, n_ids, decoded, same)`` for every row of ``docs``: the ids of each whole text, what they decode
     to, and whether that is the text again.
@@ -200,6 +236,5 @@ def round_trip(docs: DataFrame, path: str, text: str = "text", key: str = "doc_i
     come in; an empty table gives an empty one. Other columns are ignored.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = rows.withColumn("ids", encode(path, F.col("text")))
-    rows = rows.withColumn("decoded", decode(path, F.col("ids")))
+    rows = rows.withColumn("code", recode(path, F.col("text"))).select("doc_id", "text", "code.ids", "code.decoded")
     return rows.select("doc_id", "ids", F.size("ids").alias("n_ids"), "decoded", F.col("decoded").eqNullSafe(F.col("text")).alias("same"))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-# Words of one generation; two are kept, some 100 MB at most. Longer words are worked out each time.
-GENERATION = 250_000
+# Bytes of one generation, with what Python needs for an entry; two are kept. Longer words are worked out each time.
+GENERATION = 24 << 20
+ENTRY = 200
 MAX_LENGTH = 64
 
 
@@ -20,6 +21,7 @@ class WordCache:
         self._encode = encode
         self._known: dict = {}
         self._older: dict = {}
+        self._size = 0
 
     def join(self, words: list) -> bytes:
         """The bytes of all words in a row."""
@@ -30,8 +32,12 @@ class WordCache:
         found = {w: self._older[w] for w in needed if w in self._older}
         missing = [w for w in needed if w not in found]
         found.update(zip(missing, self._encode(missing), strict=True))
-        if len(self._known) + len(found) > GENERATION:
-            self._older, self._known = self._known, {}
-        if len(found) <= GENERATION:
-            self._known.update((w, part) for w, part in found.items() if len(w) <= MAX_LENGTH)
+        for word, part in found.items():
+            if len(word) > MAX_LENGTH:
+                continue
+            size = ENTRY + 4 * len(word) + len(part)
+            if self._size + size > GENERATION:
+                self._older, self._known, self._size = self._known, {}, 0
+            self._known[word] = part
+            self._size += size
         return b"".join([found[w] if part is None else part for w, part in zip(words, parts, strict=True)])

@@ -30,7 +30,7 @@ def test_the_whole_pipeline_equals_plain_python(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     model = toxicity.fit(docs, spark.read.parquet(f"{FOLDER}/labels.parquet"))
     rows = [r for r in docs.collect() if toxicity.score_texts([r.text], model)[0] < model.thresholds.get(r.lang, 0.5)]
-    roots = components_of({r.doc_id: fingerprint(r.text, 5) for r in rows})
+    roots = components_of({r.doc_id: fingerprint(r.text) for r in rows})
     rows = [r for r in rows if roots[r.doc_id] == r.doc_id]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
     found = {d for d, _ in leaks([(r.doc_id, r.text) for r in rows], items)}
