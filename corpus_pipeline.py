@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluicework.llm import cgk, jaccard, secrets, spm, toxicity
+from sluicework.llm import cgk, secrets, simhash, spm, toxicity
 from sluicework.llm.common import stored
 from sluicework.llm.queries import table, tokenizer_path
 from sluicework.session import prepare
@@ -27,15 +27,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id. Documents are linked when their
-    sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+    """One document of each group of near-duplicates: the one with the smallest id. Documents are linked when the
+    SimHash fingerprints of their three-word shingles differ in 2 bits or fewer.
 
     Rows with the same id are one document, of which one row stays. Rows without an id come after those with one, in
     the order of a hash of their text.
     """
     unnamed = F.lit(1 << 62) + F.xxhash64("text").bitwiseAND(F.lit((1 << 61) - 1))
     key = F.coalesce(F.col("doc_id").cast("long"), unnamed)
-    found = jaccard.near_duplicates(docs.select(key.alias("doc_id"), "text"), words=5, percent=80)
+    found = simhash.near_duplicates(docs.select(key.alias("doc_id"), "text"), words=3, most=2)
     first = stored(found.filter("doc_id = component_id").select(F.col("doc_id").alias("key")).distinct(), "first")
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("doc"), key.alias("key")).join(first, "key", "left_semi")
     order = Window.partitionBy("key").orderBy(F.xxhash64("doc"))
@@ -59,9 +59,9 @@ def to_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """All documents with the ids of their text, and whether these decode to the text again."""
     path = tokenizer_path("piece_bpe_32k.model")
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("doc"))
-    rows = rows.withColumn("ids", spm.encode(path, F.col("doc.text")))
-    same = spm.decode(path, F.col("ids")).eqNullSafe(F.col("doc.text"))
-    return rows.select("doc.doc_id", "doc.lang", "doc.source", "doc.text", "ids", same.alias("same"))
+    rows = rows.withColumn("code", spm.recode(path, F.col("doc.text")))
+    same = F.col("code.decoded").eqNullSafe(F.col("doc.text"))
+    return rows.select("doc.doc_id", "doc.lang", "doc.source", "doc.text", "code.ids", same.alias("same"))
 
 
 STAGES = [
