@@ -7,7 +7,8 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sluicework.session import working_folder
 
@@ -51,3 +52,34 @@ def lower_words(text: str) -> list[bytes]:
     if text.isascii() or not _ODD.search(text):
         return text.encode("utf-8", "surrogatepass").translate(_BLANKED).split()
     return [w.encode("utf-8", "surrogatepass") for w in _WORD.findall(text)]
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def ascii_lower(text: Column) -> Column:
+    """A-Z in lower case and all other letters as they are. Texts of ASCII alone take the faster built-in."""
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, _UPPER, _UPPER.lower()))
+
+
+# ASCII bytes other than letters and digits end a word; line feeds are kept apart so that lines can still be told.
+_WORD_BYTES = bytes(c if c >= 128 or chr(c).isalnum() or c == 10 else 32 for c in range(256))
+WORD_SQL = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BYTES_A_CHUNK = 1 << 20
+
+
+def plain_bytes(text: str) -> bytes:
+    """A text as UTF-8 with A-Z in lower case and a blank for all that is neither a line feed nor part of a word ``WORD_SQL``."""
+    return text.encode("utf-8", "surrogatepass").lower().translate(_WORD_BYTES)
+
+
+def word_chunks(plain: bytes, size: int = BYTES_A_CHUNK) -> Iterator[list[bytes]]:
+    """The words of such bytes in lists of some ``size`` bytes each, so that a very long text is never one list."""
+    start = 0
+    while len(plain) - start > size:
+        stop = start + size
+        while stop < len(plain) and plain[stop] not in b" \n":
+            stop += 1
+        yield plain[start:stop].split()
+        start = stop
+    yield plain[start:].split()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicework.llm import cgk, dac, htmltext, mtree, secrets, simhash, spm, suffix, toxicity, urls
+from sluicework.llm import cgk, collocations, dac, htmltext, licenses, mtree, resampling, secrets, simhash, spm, suffix, toxicity, urls
 from sluicework.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,21 @@ def op4_top_k(spark: SparkSession, folder: str) -> DataFrame:
 def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
     """The visible text of all pages."""
     return htmltext.extract_pages(table(spark, folder, "pages"))
+
+
+@query(collocations.sql_twin())
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The best phrases of each language, from all documents."""
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+@query(licenses.sql_twin())
+def op12_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and templates in all documents."""
+    return licenses.digest(licenses.scan(table(spark, folder, "documents")))
+
+
+@query(resampling.sql_twin())
+def op13_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """A tenth of all documents, drawn towards the benchmark's words."""
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
