@@ -20,7 +20,8 @@ from pyspark.sql.types import StringType
 from sluicework import lookups
 from sluicework.functions.lookup import blank_to_null, let, literal_array, literal_map, lookup
 
-# Every whitespace character; as a pattern and as a set of characters to trim.
+# Every whitespace character; as patterns for ASCII texts and all others, and as a set of characters to trim.
+ASCII_SPACE = r"[\t-\r\x1c-\x1f][\t-\r\x1c-\x20]*|\x20[\t-\r\x1c-\x20]+"
 SPACE = r"(?U)[\s\x1c-\x1f]+"
 SPACE_CHARACTERS = "".join(chr(code) for code in range(0x10000) if chr(code).isspace())
 
@@ -31,8 +32,14 @@ def strip_space(c: Column) -> Column:
 
 
 def collapse_space(c: Column) -> Column:
-    """One space for each run of whitespace, none at the ends."""
-    return F.trim(F.regexp_replace(c, SPACE, " "))
+    """One space for each run of whitespace, none at the ends. In ASCII texts only the runs that change are matched."""
+
+
+    def collapse(text: Column) -> Column:
+        ascii_only = F.octet_length(text) == F.char_length(text)
+        return F.when(ascii_only, F.regexp_replace(text, ASCII_SPACE, " ")).otherwise(F.regexp_replace(text, SPACE, " "))
+
+    return F.trim(let(c, collapse))
 
 
 def contains_any(c: Column, words: Sequence[str]) -> Column:
@@ -47,16 +54,19 @@ def contains_any(c: Column, words: Sequence[str]) -> Column:
 # --- HTML to text ---------------------------------------------------------------------------------------------------
 
 _ATTRIBUTES = r"(?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+"
-_RAW_TEXT = rf"<(script|style)\b{_ATTRIBUTES}>(.*?)(?:</\1\s*>|\z)"
-_COMMENT = r"<!--.*?(?:-->|\z)"
-_DECLARATION = r"<!\[CDATA\[.*?\]\]>|<[!?][^>]*(?:>|\z)"
-_TAG = rf"</?[a-zA-Z]{_ATTRIBUTES}>|</?[a-zA-Z/][^>]*(?:>|\z)"
-_MARKUP = f"(?is){_COMMENT}|{_RAW_TEXT}|{_DECLARATION}|{_TAG}"
+_RAW_TEXT = rf"(script|style)\b{_ATTRIBUTES}>(.*?)(?:</\1\s*>|\z)"
+_COMMENT = r"!--.*?(?:-->|\z)"
+_DECLARATION = r"!\[CDATA\[.*?\]\]>|[!?][^>]*(?:>|\z)"
+_TAG = rf"/?[a-zA-Z]{_ATTRIBUTES}>|/?[a-zA-Z/][^>]*(?:>|\z)"
+# The bracket comes first and alone, so that other characters are passed over by one comparison.
+_MARKUP = f"(?is)<(?:{_COMMENT}|{_RAW_TEXT}|{_DECLARATION}|{_TAG})"
 # Set around the bodies of script and style while the rest is decoded; characters for private use.
 _RAW_START, _RAW_END = "", ""
 
 _REFERENCE = r"\A(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
-_FREQUENT = {n: html5[n] for n in ("amp;", "lt;", "gt;", "quot;", "apos;", "nbsp;", "eacute;", "rsquo;", "ndash;", "bull;")}
+_FREQUENT = {n: html5[n] for n in ("lt;", "gt;", "quot;", "apos;", "nbsp;", "copy;", "eacute;", "rsquo;", "ndash;", "bull;", "amp;")}
+# A reference other than the frequent ones, or what may be one.
+_RARE = rf"&(?!{'|'.join(_FREQUENT)})[#a-zA-Z]"
 # Names that count without their semicolon, also at the beginning of other text.
 _UNCLOSED_NAMES = {n: html5[n] for n in sorted(html5, key=lambda n: (-len(n), n)) if not n.endswith(";")}
 _UNCLOSED = rf"\A(?:{'|'.join(_UNCLOSED_NAMES)})"
@@ -88,7 +98,7 @@ def _code(digits: Column, is_hex: Column) -> Column:
 
 def _named(reference: Column) -> Column:
     """``eacute;`` -> ``é``; the longest name that may go unclosed at its beginning; else the text with its ampersand."""
-    known = F.coalesce(lookup(reference, _FREQUENT), lookup(reference, html5))
+    known = lookup(reference, html5)
     name = F.regexp_extract(reference, _UNCLOSED, 0)
     begun = F.concat(lookup(name, _UNCLOSED_NAMES), F.substring(reference, F.length(name) + 1, F.length(reference)))
     return F.coalesce(known, begun, F.concat(F.lit("&"), reference))
@@ -96,22 +106,30 @@ def _named(reference: Column) -> Column:
 
 def _decode_piece(piece: Column) -> Column:
     """Text that followed an ampersand, with the reference at its beginning decoded."""
-    reference = F.regexp_extract(piece, _REFERENCE, 0)
-    rest = F.substring(piece, F.length(reference) + 1, F.length(piece))
-    shown = F.when(reference == "", F.lit("&")).when(reference.startswith("#"), _numeric(reference)).otherwise(_named(reference))
-    return F.concat(shown, rest)
+
+    def shown(reference: Column) -> Column:
+        rest = F.substring(piece, F.length(reference) + 1, F.length(piece))
+        value = F.when(reference == "", F.lit("&")).when(reference.startswith("#"), _numeric(reference)).otherwise(_named(reference))
+        return F.concat(value, rest)
+
+    return let(F.regexp_extract(piece, _REFERENCE, 0), shown)
 
 
 def decode_entities(c: Column) -> Column:
     """Decode named (HTML 5) and numeric character references as a browser does, in one pass from left to right.
 
     Text without ``&`` is passed through untouched. What a reference gives is not read again: ``&amp;lt;`` is ``&lt;``.
+    Where only the frequent ones occur they are replaced one after the other: none gives an ampersand but the last.
     """
 
     def decode(text: Column) -> Column:
         pieces = F.split(text, "&", -1)
         later = F.transform(F.slice(pieces, 2, F.size(pieces)), _decode_piece)
-        return F.when(text.contains("&"), F.concat(F.get(pieces, F.lit(0)), F.array_join(later, ""))).otherwise(text)
+        rare = F.concat(F.get(pieces, F.lit(0)), F.array_join(later, ""))
+        frequent = text
+        for name, char in _FREQUENT.items():
+            frequent = F.replace(frequent, F.lit(f"&{name}"), F.lit(char))
+        return F.when(~text.contains("&"), text).when(text.rlike(_RARE), rare).otherwise(frequent)
 
     return let(c, decode)
 
@@ -162,7 +180,7 @@ def clean_html(c: Column, drop_script: bool = False, exact: bool = False) -> Col
         text = _parse_html(c)
     else:
         text = _without_markup(c, drop_script)
-    return blank_to_null(collapse_space(text))
+    return let(collapse_space(text), blank_to_null)
 
 
 # --- accents --------------------------------------------------------------------------------------------------------

@@ -119,6 +119,24 @@ def source_of(
     return F.lit(default) if out is None else out.otherwise(F.lit(default))
 
 
+# A task for each core would leave most idle at the end; some tasks a core even out.
+TASKS_A_CORE = 3
+
+
+def spread(rows: DataFrame, least_rows: int = 1000) -> DataFrame:
+    """``rows`` in enough partitions for costly work on each of them.
+
+    A table in few files or row groups is read by few tasks, whatever is then done with its rows. Where there are fewer
+    tasks than the cores can take, the rows are dealt out once, at least ``least_rows`` to a task; a table that is
+    larger than that is read as it lies. Rows are counted from file footers.
+    """
+    wanted = TASKS_A_CORE * rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() >= wanted:
+        return rows
+    wanted = min(wanted, rows.count() // least_rows)
+    return rows.repartition(wanted) if wanted > 1 else rows
+
+
 def scan(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """A stored table, whole or only the named columns (the scan reads no others)."""
     table = spark.read.parquet(path)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sluicework.plans.silver import to_silver
 from sluicework.session import prepare, working_folder
+from sluicework.sources import readers
 from workload import derive
 
 NAMES = (
@@ -37,7 +38,9 @@ class Tables:
         """Run portable SQL over the tables it names."""
         for name in NAMES:
             if f" {name}" in text:
-                getattr(self, name).createOrReplaceTempView(name)
+                table = getattr(self, name)
+                # Postings are derived from orders, and what is done with a posting is costly.
+                (readers.spread(table) if name == "orders" else table).createOrReplaceTempView(name)
         return self.spark.sql(text)
 
     @property
