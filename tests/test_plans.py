@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sluicework.operators import dedup, filters, merge, quantiles
 from sluicework.plans import gold
 from sluicework.plans.silver import to_silver
-from workload import q_gold, q_merge, q_sources, q_stream  # noqa: F401
+from workload import q_gold, q_merge, q_paging, q_sources, q_stream  # noqa: F401
 from workload.registry import QUERIES
 from workload.tables import Tables
 
