@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import lru_cache
 from html.entities import html5
 
@@ -296,6 +296,11 @@ def extract_tags(text: Column, taxonomy: Sequence[str] = tuple(lookups.TAXONOMY)
     return F.coalesce(F.array_sort(found), F.array().cast("array<string>"))
 
 
+def province_alone(text: Column, codes: Mapping[str, str] = lookups.PROVINCE_CODES) -> Column:
+    """Province of the first code that stands alone in a text."""
+    return lookup(F.regexp_extract(text, rf"(?U)(?:,\s*|\s)({'|'.join(codes)})(?:\s|,|$|\b)", 1), codes)
+
+
 def infer_location_from_text(
     text: Column,
     cities: dict[str, str] = lookups.CITY_PROVINCES,
@@ -319,8 +324,7 @@ def infer_location_from_text(
         places = F.transform(first, lambda c: F.struct(lookup(c, names).alias("city"), lookup(c, cities).alias("province")))
         return F.get(places, F.lit(0))
 
-    alone = lookup(F.regexp_extract(text, rf"(?U)(?:,\s*|\s)({any_code})(?:\s|,|$|\b)", 1), codes)
-    by_code = F.struct(F.lit(None).cast("string").alias("city"), alone.alias("province"))
+    by_code = F.struct(F.lit(None).cast("string").alias("city"), province_alone(text, codes).alias("province"))
     return F.when(text.isNotNull(), F.coalesce(let(F.lower(text), best_city), by_code))
 
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluicework import schemas
+from sluicework import lookups, schemas
 from sluicework.functions import lookup as L
 from sluicework.functions import normalize as N
 from sluicework.functions import text as X
-from sluicework.operators import filters
+from sluicework.operators import filters, names
 from sluicework.plans import silver as S
 from sluicework.sources import mappings, readers
 from workload import derive, oracle
@@ -208,6 +208,18 @@ def extract_tags(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.array_join(X.extract_tags(F.col("text"), WORDS), "|").alias("tags"))
 
 
+@query(
+    f"WITH terms AS (SELECT DISTINCT unnest({_TOKENS}) AS t FROM benchmark), words AS (SELECT DISTINCT doc_id, unnest({_TOKENS}) AS t "
+    "FROM documents) SELECT doc_id, coalesce(string_agg(terms.t, '|' ORDER BY encode(terms.t)) FILTER (WHERE terms.t <> ''), '') AS tags "
+    "FROM (SELECT doc_id FROM documents) LEFT JOIN words USING (doc_id) LEFT JOIN terms USING (t) GROUP BY doc_id"
+)
+def extract_terms(t: Tables) -> DataFrame:
+    """Tags from a taxonomy that is a table itself: all words of the benchmark, over whole documents."""
+    words = t.benchmark.select(F.explode(F.split(F.lower("text"), r"(?U)\W+")).alias("term")).distinct()
+    found = names.extract_terms(t.documents, words.withColumn("order", F.lit(0)), "doc_id", "text")
+    return found.select("doc_id", F.array_join("tags", "|").alias("tags"))
+
+
 @query(
     "SELECT doc_id, regexp_matches(text, '[\\p{S}]|[^\\x00-\\x7F]') AS odd, lang FROM documents"
 )
@@ -259,13 +271,22 @@ def province_of_city(t: Tables) -> DataFrame:
 
 
 _FOUND = oracle.text_city("job_description")
-
-
-@query(
+_PLACES = (
     f"WITH {oracle.SILVER}, hit AS (SELECT job_id, {_FOUND} AS found, {oracle.text_code('job_description')} AS code "
     f"FROM silver) SELECT job_id, {oracle.case_map('found', oracle._CITIES, 'NULL')} AS city, CASE WHEN found IS NULL "
     f"THEN code ELSE {oracle.case_map('found', oracle.lookups.CITY_PROVINCES, 'NULL')} END AS province FROM hit"
 )
+
+
+@query(_PLACES)
+def locate(t: Tables) -> DataFrame:
+    """The same from a table of cities."""
+    cities = [(c, lookups.city_display(c), p, i) for i, (c, p) in enumerate(lookups.CITY_PROVINCES.items())]
+    table = t.spark.createDataFrame(cities, "name string, city string, province string, order int")
+    return names.locate(t.silver, table, "job_id", "job_description")
+
+
+@query(_PLACES)
 def infer_location_from_text(t: Tables) -> DataFrame:
     found = t.silver.select("job_id", X.infer_location_from_text(F.col("job_description")).alias("f"))
     return found.select("job_id", "f.city", "f.province")
