@@ -117,6 +117,17 @@ def metric_display(stats: DataFrame, metric: str) -> DataFrame:
     return stats.select("province", F.col(column).cast("double").alias("value"), display(F.col(column)).alias("text"))
 
 
+def metrics_display(stats: DataFrame) -> DataFrame:
+    """All metrics of the registry per province, one row each, in one pass over the statistics."""
+    shown = F.array(
+        *(
+            F.struct(F.lit(name).alias("metric"), F.lit(label).alias("label"), F.col(c).cast("double").alias("value"), display(F.col(c)).alias("text"))
+            for name, (c, label, display) in METRICS.items()
+        )
+    )
+    return stats.select("province", F.inline(shown))
+
+
 def map_features(features: DataFrame, stats: DataFrame, name: str = "name") -> DataFrame:
     """Geographic features with display texts of their province, found by accent-free name; '—' where there is none."""
     joined = joins.join_by_plain_name(features, stats, name, "province")
@@ -288,6 +299,14 @@ def skills_by_seniority(
     return filters.in_order(aggregates.crosstab(tags, "seniority", "skill", skills), "seniority", order)
 
 
+def skills_by_seniority_rows(postings: DataFrame, k: int = 15) -> DataFrame:
+    """``skills_by_seniority`` of the ``k`` most frequent tags as rows (level, place of the level, tag, count)."""
+    wide = skills_by_seniority(postings, None, k)
+    skills = [c for c in wide.columns if c not in ("seniority", "ord")]
+    cells = F.array(*(F.struct(F.lit(c).alias("skill"), F.col(f"`{c}`").alias("count")) for c in skills))
+    return wide.select("seniority", "ord", F.inline(cells)) if skills else wide.select("seniority", "ord", F.lit("").alias("skill"), F.lit(0).alias("count"))
+
+
 def city_density(postings: DataFrame) -> DataFrame:
     """Postings per city with known coordinates, and the size of its dot."""
     counts = joins.count_values(postings, "location_city")

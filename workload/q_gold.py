@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluicework import lookups
+from sluicework import lookups, schemas
 from sluicework.operators import aggregates, joins, quality, quantiles
 from sluicework.plans import gold
 from workload import derive, oracle
@@ -32,22 +32,21 @@ _STATS = f"""stats AS (
 
 # --- joins ----------------------------------------------------------------------------------------------------------
 
-_JOB_COLUMNS = ["job_id", "title", "company_name", "company_domain", "location_state", "salary_min", "seniority"]
+_JOB_COLUMNS = ["job_id", *schemas.FIELDS[:-1], "years_experience_min", "seniority", *schemas.RAW_FIELDS]
 
 
 @query(
-    f"{S}, companies AS ({derive.COMPANIES}) SELECT {', '.join('s.' + c for c in _JOB_COLUMNS)}, s.title_raw, "
-    "array_to_string(s.skills_tags, '|') AS skills_tags, c.industry, c.employee_count, c.employee_range, "
+    f"{S}, companies AS ({derive.COMPANIES}) SELECT {', '.join('s.' + c for c in _JOB_COLUMNS)}, "
+    "strftime(s.posted_at, '%Y-%m-%d %H:%M:%S') AS posted_at, array_to_string(s.skills_tags, '|') AS skills_tags, "
+    "c.industry, c.employee_count, c.employee_range, "
     "c.linkedin_url AS company_linkedin_url, c.website_url AS company_website_url, c.city AS company_city, "
     "c.country AS company_country FROM silver s LEFT JOIN companies c ON s.company_domain = c.domain"
 )
 def jobs_enriched(t: Tables) -> DataFrame:
+    """The whole wide view: working, derived and raw columns, and the company's."""
     rows = gold.jobs_enriched(t.silver, t.companies)
-    return rows.select(
-        *_JOB_COLUMNS, "title_raw", F.array_join("skills_tags", "|").alias("skills_tags"), "industry",
-        "employee_count", "employee_range", "company_linkedin_url", "company_website_url", "company_city",
-        "company_country",
-    )
+    tags, posted = F.array_join("skills_tags", "|"), F.date_format("posted_at", "yyyy-MM-dd HH:mm:ss")
+    return rows.withColumns({"skills_tags": tags, "posted_at": posted})
 
 
 _DOMAIN = ", ".join(f"({quote(p)})" for p in lookups.PROVINCE_DOMAIN)
@@ -156,12 +155,24 @@ def national_rates(t: Tables) -> DataFrame:
     return gold.national_rates(t.silver)
 
 
+_METRICS = {
+    "Job Volume": ("Job Postings", "job_count", "format('{:,}', job_count)"),
+    "Remote Rate": ("Remote Rate", "remote_rate", f"{_whole('remote_rate')} || '%'"),
+    "Senior+ Rate": ("Senior / Lead / Director+", "senior_rate", f"{_whole('senior_rate')} || '%'"),
+    "Avg Salary": ("Avg Salary (CAD)", "avg_salary", f"'$' || {_whole('avg_salary / 1000')} || 'k'"),
+}
+
+
 @query(
-    f"{S}, {_STATS} SELECT province, avg_salary AS value, coalesce('$' || {_whole('avg_salary / 1000')} || 'k', '—') AS "
-    "text FROM stats"
+    f"{S}, {_STATS} "
+    + " UNION ALL ".join(
+        f"SELECT province, {quote(m)} AS metric, {quote(label)} AS label, {c}::DOUBLE AS value, coalesce({text}, '—') AS text FROM stats"
+        for m, (label, c, text) in _METRICS.items()
+    )
 )
 def metric_display(t: Tables) -> DataFrame:
-    return gold.metric_display(gold.province_stats(t.silver), "Avg Salary")
+    """All metrics of the map, as numbers and as texts."""
+    return gold.metrics_display(gold.province_stats(t.silver))
 
 
 _MEDIANS = (
@@ -429,17 +440,15 @@ def filtered_skill_frequency(t: Tables) -> DataFrame:
     return gold.skill_frequency(chosen)
 
 
-_TOP15 = ["r", "sql", "power bi", "python", "spark", "a/b testing"]
-
-
 @query(
-    f"{S}, {_TAGGED} SELECT seniority, "
-    + ", ".join(f"count(*) FILTER (WHERE skill = {quote(s)}) AS \"{s}\"" for s in _TOP15)
-    + f", CAST(CASE seniority {_ORDER} END AS INTEGER) AS ord FROM tagged WHERE skill IN "
-    + f"({', '.join(quote(s) for s in _TOP15)}) AND seniority IS NOT NULL GROUP BY seniority"
+    f"{S}, {_TAGGED}, top15 AS (SELECT skill FROM tagged GROUP BY skill ORDER BY count(*) DESC, skill LIMIT 15), "
+    "levels AS (SELECT DISTINCT seniority FROM tagged JOIN top15 USING (skill) WHERE seniority IS NOT NULL) "
+    f"SELECT seniority, CAST(CASE seniority {_ORDER} END AS INTEGER) AS ord, skill, count(job_id) AS count "
+    "FROM levels CROSS JOIN top15 LEFT JOIN tagged USING (seniority, skill) GROUP BY seniority, skill"
 )
 def skills_by_seniority(t: Tables) -> DataFrame:
-    return gold.skills_by_seniority(t.silver, _TOP15)
+    """The 15 most frequent tags, as the data has them, by level."""
+    return gold.skills_by_seniority_rows(t.silver)
 
 
 @query(f"{S} SELECT job_id, unnest(skills_tags) AS skill FROM silver")
