@@ -103,6 +103,26 @@ def load_batch(
     missing_stubs(others, stored).write.mode("overwrite").parquet(store.path("companies", run))
 
 
+def log_success(spark: SparkSession, store: Store, run: str, batch: DataFrame, start: float) -> None:
+    """Append the event of a finished run, with its counts; ``start`` is the clock's reading when it began."""
+    before = store.postings(spark).filter(F.col("ingest_run") != run)
+    counts = dedup_counts(batch, before, "job_id", rows=batch.count()).first()
+    rejected = store.rejects(spark).filter(F.col("ingest_run") == run).agg(F.sum("records")).first()[0]
+    log_run(
+        spark,
+        store,
+        run,
+        "success",
+        jobs_fetched=counts["incoming"],
+        jobs_new=counts["new"],
+        jobs_skipped=counts["skipped"],
+        jobs_duplicate=counts["duplicate"],
+        companies_added=store.companies(spark).filter(F.col("ingest_run") == run).count(),
+        duration_seconds=round(time.monotonic() - start, 2),
+        jobs_rejected=rejected or 0,
+    )
+
+
 def run_ingest(
     spark: SparkSession,
     paths: Mapping[str, str],
@@ -130,23 +150,7 @@ def run_ingest(
         landed = ingest_bronze(spark, paths, fetched_at, max_pages, keep_rejects)
         batch = land_bronze(spark, landed, store, run)
         load_batch(spark, batch, store, run, curated)
-        before = store.postings(spark).filter(F.col("ingest_run") != run)
-        counts = dedup_counts(batch, before, "job_id", rows=batch.count()).first()
-        rejected = store.rejects(spark).filter(F.col("ingest_run") == run).agg(F.sum("records")).first()[0]
-        stubs = store.companies(spark).filter(F.col("ingest_run") == run).count()
-        log_run(
-            spark,
-            store,
-            run,
-            "success",
-            jobs_fetched=counts["incoming"],
-            jobs_new=counts["new"],
-            jobs_skipped=counts["skipped"],
-            jobs_duplicate=counts["duplicate"],
-            companies_added=stubs,
-            duration_seconds=round(time.monotonic() - start, 2),
-            jobs_rejected=rejected or 0,
-        )
+        log_success(spark, store, run, batch, start)
     except Exception as error:
         took = round(time.monotonic() - start, 2)
         log_run(spark, store, run, "failed", error_message=str(error), duration_seconds=took)

@@ -39,13 +39,19 @@ def read_rejects(spark: SparkSession, path: str, source: Source, max_pages: int
     A line that is no JSON, or has no array of records (an error message, say), is given as it is and counts as one
     record; of records without an id, their number on each page is given.
     """
-    array = next(f.name for f in StructType.fromDDL(source.page_ddl) if isinstance(f.dataType, ArrayType))
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    lines = spark.read.text(path).filter(F.trim("value") != "")
+    lines = spark.read.text(path)
     if "page" not in lines.columns:
         lines = lines.withColumn("page", F.lit(1))
+    return rejects_of(limit_pages(lines, max_pages), source)
+
+
+def rejects_of(lines: DataFrame, source: Source) -> DataFrame:
+    """``read_rejects`` of lines (``page``, ``value``) that are read already."""
+    array = next(f.name for f in StructType.fromDDL(source.page_ddl) if isinstance(f.dataType, ArrayType))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    lines = lines.filter(F.trim("value") != "")
     read = F.from_json("value", f"{source.page_ddl}, _corrupt string", options).alias("e")
-    lines = limit_pages(lines, max_pages).select(F.col("page").cast("int").alias("page"), "value", read)
+    lines = lines.select(F.col("page").cast("int").alias("page"), "value", read)
     broken, records = F.col("e._corrupt").isNotNull(), F.col(f"e.{array}")
     reason = F.when(broken, "broken line").otherwise("no records")
     texts = lines.filter(broken | records.isNull()).select("page", reason.alias("reason"), F.col("value").alias("text"), F.lit(1).cast("long").alias("records"))
@@ -57,6 +63,11 @@ def read_rejects(spark: SparkSession, path: str, source: Source, max_pages: int
     return texts.unionByName(lost).select(F.lit(source.name).alias("source"), "page", "reason", "text", "records")
 
 
+def pages_of(lines: DataFrame, source: Source) -> DataFrame:
+    """Envelopes of lines (``page``, ``value``) that are read already, as ``read_pages`` gives them."""
+    return lines.select("page", F.from_json("value", source.page_ddl).alias("e")).select("page", "e.*")
+
+
 def limit_pages(pages: DataFrame, max_pages: int | None) -> DataFrame:
     """Keep the first ``max_pages`` pages of every crawl."""
     return pages if max_pages is None else pages.filter(F.col("page") <= max_pages)

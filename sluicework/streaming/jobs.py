@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import json
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sluicework.plans.ingest import Store, land_bronze, load_batch
-from sluicework.sources.mappings import Source
-from sluicework.sources.readers import with_arrival
+from sluicework.operators.dedup import filter_new, first_per_key
+from sluicework.plans.ingest import Store, land_bronze, load_batch, log_run, log_success
+from sluicework.sources.mappings import Source, sources
+from sluicework.sources.readers import combine_sources, pages_of, rejects_of, with_arrival
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -51,6 +53,68 @@ def ingest_stream(
     )
 
 
+FEED_LINES_DDL = "value string, feed string, page int"
+
+
+def ingest_feeds(
+    spark: SparkSession,
+    landing: str,
+    store: Store,
+    checkpoint: str,
+    fetched_at: Column | None = None,
+    max_files: int | None = None,
+) -> StreamingQuery:
+    """All registered sources in one stream, from folders ``feed=<name>/page=<n>`` of JSON lines, then stop.
+
+    Each micro-batch is a run: its new postings, company stubs, what was rejected and why, and the events of the run are
+    stored under the stream's id and the batch's number. A batch that runs again replaces its own folders and adds
+    its events again; of events with one run id the newest counts. Lines of a feed that is not registered are rejected.
+    """
+    stamp = F.current_timestamp() if fetched_at is None else fetched_at
+
+    def insert(batch: DataFrame, number: int) -> None:
+        session, start = batch.sparkSession, time.monotonic()
+        run = f"feeds-{stream_id(session, checkpoint)}-{number}"
+        log_run(session, store, run, "running")
+        lines = batch.persist()
+        try:
+            known = sources()
+            own = {name: lines.filter(F.col("feed") == name).select("page", "value") for name in known}
+            others = lines.filter(~F.coalesce(F.col("feed").isin(*known), F.lit(False)) & (F.trim("value") != ""))
+            strange = others.select(F.col("feed").alias("source"), "page", F.lit("unknown feed").alias("reason"), F.col("value").alias("text"), F.lit(1).cast("long").alias("records"))
+            left = combine_sources([strange, *(rejects_of(own[name], source) for name, source in known.items())])
+            left.write.mode("overwrite").parquet(store.path("rejects", run))
+            rows = combine_sources([with_arrival(source.mapping(pages_of(own[name], source)), source) for name, source in known.items()])
+            landed = land_bronze(session, rows.withColumn("fetched_at", stamp), store, run)
+        finally:
+            lines.unpersist()
+        load_batch(session, landed, store, run)
+        log_success(session, store, run, landed, start)
+
+    reader = spark.readStream.schema(FEED_LINES_DDL)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.text(landing).writeStream.foreachBatch(insert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def first_rows(rows: DataFrame, key: str, order: str, out: str, checkpoint: str) -> StreamingQuery:
+    """The whole first row of each key, in the order of arrival: micro-batch by micro-batch, within one by ``order``.
+
+    A batch keeps one row of each key on the map side, and its keys are held against those of the batches before it, of
+    which only the key column is read: no state grows in the stream, and no time limit forgets a key. A batch that runs
+    again replaces its own folder. Rows without a key are kept as one key.
+    """
+
+    def keep(batch: DataFrame, number: int) -> None:
+        first = first_per_key(batch, key, order)
+        if number:
+            before = batch.sparkSession.read.schema(batch.schema).parquet(*(f"{out}/batch={n}" for n in range(number)))
+            first = filter_new(first, before, key)
+        first.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    return rows.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def drop_repeats(
     rows: DataFrame, key: str, time: str = "posted_at", delay: str = "15 days", spread: Column | None = None
 ) -> DataFrame:

@@ -94,7 +94,7 @@ def ingest_bronze(t: Tables) -> DataFrame:
     )
 
 
-def _planted(t: Tables) -> DataFrame:
+def planted(t: Tables) -> DataFrame:
     """Pages of one source, with lines that are cut short, error messages, and records without an id among them."""
     good = payload(t, "theirstack")
     cut = t.nation.select((F.col("n_regionkey") + 1).cast("int").alias("page"), F.concat(F.lit('{"data": [{"id": "'), "n_name").alias("value"))
@@ -113,7 +113,7 @@ def _planted(t: Tables) -> DataFrame:
 )
 def ingest_rejects(t: Tables) -> DataFrame:
     """What the reader of landed pages leaves out: as many lines and records as were planted."""
-    path = t.stored("landing_planted", lambda: _planted(t), "text", "page")
+    path = t.stored("landing_planted", lambda: planted(t), "text", "page")
     return readers.read_rejects(t.spark, path, mappings.sources()["theirstack"])
 
 
@@ -387,27 +387,28 @@ def copy_to_silver(t: Tables) -> DataFrame:
 
 
 _PLAIN = [f for f in schemas.FIELDS if f != "posted_at"]
-_SILVER_OUT = ", ".join(
+SILVER_OUT = ", ".join(
     ["job_id", *_PLAIN, "years_experience_min", "seniority"]
     + ["strftime(posted_at, '%Y-%m-%d %H:%M:%S') AS posted_at", "array_to_string(skills_tags, '|') AS skills_tags"]
 )
 
 
-def silver_output(rows: DataFrame) -> DataFrame:
+def silver_output(rows: DataFrame, *more: str) -> DataFrame:
     return rows.select(
+        *more,
         "job_id", *_PLAIN, "years_experience_min", "seniority",
         F.date_format("posted_at", "yyyy-MM-dd HH:mm:ss").alias("posted_at"),
         F.array_join("skills_tags", "|").alias("skills_tags"),
     )
 
 
-@query(f"WITH {oracle.SILVER} SELECT {_SILVER_OUT} FROM silver")
+@query(f"WITH {oracle.SILVER} SELECT {SILVER_OUT} FROM silver")
 def to_silver(t: Tables) -> DataFrame:
     """The whole Bronze to Silver transform."""
     return silver_output(S.to_silver(t.bronze, t.as_of))
 
 
-@query(f"WITH {oracle.SILVER} SELECT {_SILVER_OUT} FROM silver")
+@query(f"WITH {oracle.SILVER} SELECT {SILVER_OUT} FROM silver")
 def backfill_silver(t: Tables) -> DataFrame:
     """Stored rows transformed again: Bronze fallback, then Silver with the same instant gives the same rows."""
     return silver_output(S.to_silver(S.bronze_fallback(t.silver), t.as_of))

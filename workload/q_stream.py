@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluicework.operators import merge
 from sluicework.operators.dedup import last_per_key
+from sluicework.plans import ingest
 from sluicework.plans.ingest import Store
 from sluicework.session import working_folder
 from sluicework.sources.mappings import sources
 from sluicework.streaming import jobs
 from workload import oracle
-from workload.q_sources import payload
+from workload.q_sources import SILVER_OUT, payload, planted, silver_output
 from workload.registry import query
 from workload.tables import Tables
 
@@ -53,9 +56,22 @@ def stream_weekly_counts(t: Tables) -> DataFrame:
     return last.select(F.col("week_start").cast("string").alias("week_start"), "job_count", "remote_count")
 
 
-@query("SELECT DISTINCT user_id FROM events")
+@query("SELECT * REPLACE (strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts) FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1")
 def stream_drop_repeats(t: Tables) -> DataFrame:
-    """One event per user within the watermark, which here spans the whole table."""
+    """The whole first event of each user, over events that arrive in many files, in their order."""
+    landing, folder = _fresh(t, "events"), _fresh(t, "first")
+    parts = [(i, f"{landing}/{i:02d}") for i in range(3)]
+    cut = t.events.agg((F.max("event_id") / len(parts) + 1).cast("long")).first()[0]
+    for i, path in parts:
+        t.events.filter((F.col("event_id") / cut).cast("int") == i).coalesce(1).write.parquet(path)
+    rows = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(f"{landing}/*")
+    jobs.first_rows(rows, "user_id", "event_id", folder, _fresh(t, "checkpoint")).awaitTermination()
+    return t.spark.read.schema(t.events.schema).parquet(f"{folder}/*").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("SELECT DISTINCT user_id FROM events")
+def stream_drop_within(t: Tables) -> DataFrame:
+    """Users within the watermark, which here spans the whole table: bounded state, any of a key's rows."""
     out = _fresh(t, "first")
     spread = F.pmod(F.col("event_id"), F.lit(16))
     rows = jobs.drop_repeats(_events(t), "user_id", "ts", "60 days", spread)
@@ -70,15 +86,60 @@ def stream_drop_repeats(t: Tables) -> DataFrame:
     return t.spark.read.parquet(out)
 
 
-_OUT = ["job_id", "title", "company_domain", "location_city", "location_state", "salary_min", "seniority", "is_remote"]
+def _feeds(t: Tables) -> DataFrame:
+    """Lines of all feeds, with lines among those of one that must be rejected."""
+    own = {name: (planted(t) if name == "theirstack" else payload(t, name)) for name in sources()}
+    parts = [rows.select(F.lit(name).alias("feed"), F.col("page").cast("int").alias("page"), "value") for name, rows in own.items()]
+    return reduce(DataFrame.unionByName, parts)
+
 
+def _ingested(t: Tables) -> Store:
+    landing = t.stored("landing_feeds", lambda: _feeds(t).repartition(8, "feed", "page"), "text", "feed", "page")
+    store = Store(_fresh(t, "store"))
+    jobs.ingest_feeds(t.spark, landing, store, _fresh(t, "checkpoint"), t.as_of, max_files=12).awaitTermination()
+    return store
 
-@query(f"WITH {oracle.SILVER} SELECT {', '.join(_OUT)} FROM silver WHERE job_id LIKE 'theirstack\\_%' ESCAPE '\\'")
+
+@query(f"WITH {oracle.SILVER} SELECT {SILVER_OUT} FROM silver")
 def stream_ingest(t: Tables) -> DataFrame:
-    """Landed pages of one source to stored Silver rows, in micro-batches."""
-    name = "theirstack"
-    landing = t.stored(f"landing_{name}", lambda: payload(t, name), "text", "page")
+    """Landed pages of all four feeds to stored Silver rows, in micro-batches."""
+    return silver_output(_ingested(t).postings(t.spark))
+
+
+_REJECTED = "(SELECT count(*) FROM nation) + (SELECT count(*) FROM region) + (SELECT count(*) FROM supplier)"
+
+
+@query(f"SELECT count(*) AS jobs_fetched, count(*) AS jobs_new, 0 AS jobs_skipped, {_REJECTED} AS jobs_rejected FROM orders")
+def stream_ingest_counts(t: Tables) -> DataFrame:
+    """What the runs of that stream counted, over all micro-batches."""
+    store = _ingested(t)
+    runs = merge.current_runs(store.run_events(t.spark)).filter("status = 'success'")
+    return runs.agg(*(F.sum(c).alias(c) for c in ("jobs_fetched", "jobs_new", "jobs_skipped", "jobs_rejected")))
+
+
+def _two_runs(t: Tables) -> Store:
+    paths = {name: t.stored(f"landing_{name}", lambda n=name: payload(t, n), "text", "page") for name in sources()}
     store = Store(_fresh(t, "store"))
-    run = jobs.ingest_stream(t.spark, sources()[name], landing, store, _fresh(t, "checkpoint"), t.as_of)
-    run.awaitTermination()
-    return store.postings(t.spark).select(*_OUT)
+    ingest.run_ingest(t.spark, paths, store, fetched_at=t.as_of, max_pages=3, run="first")
+    ingest.run_ingest(t.spark, paths, store, fetched_at=t.as_of, run="second")
+    return store
+
+
+@query(
+    f"WITH {oracle.SILVER} SELECT {SILVER_OUT}, CASE WHEN year(o_orderdate) - 1991 <= 3 THEN 'first' ELSE 'second' END AS run FROM silver"
+)
+def run_ingest(t: Tables) -> DataFrame:
+    """The incremental job from landed pages to stored postings: some pages in one run, all of them in the next."""
+    rows = _two_runs(t).postings(t.spark)
+    return silver_output(rows, "ingest_run").withColumnRenamed("ingest_run", "run")
+
+
+@query(
+    "SELECT run, 'success' AS status, jobs_fetched, jobs_new, jobs_fetched - jobs_new AS jobs_skipped, 0 AS jobs_rejected FROM "
+    "(SELECT 'first' AS run, count(*) FILTER (WHERE year(o_orderdate) - 1991 <= 3) AS jobs_fetched, jobs_fetched AS jobs_new FROM orders "
+    "UNION ALL SELECT 'second', count(*), count(*) FILTER (WHERE year(o_orderdate) - 1991 > 3) FROM orders)"
+)
+def run_ingest_events(t: Tables) -> DataFrame:
+    """What these runs logged."""
+    runs = merge.current_runs(_two_runs(t).run_events(t.spark))
+    return runs.select(F.col("run_id").alias("run"), "status", "jobs_fetched", "jobs_new", "jobs_skipped", "jobs_rejected")
