@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from sluicework import schemas
 from sluicework.operators.dedup import dedup_counts, filter_new, first_per_key
 from sluicework.operators.joins import fill_from
+from sluicework.operators.keyed import KeyedTable
 from sluicework.operators.merge import missing_stubs
 from sluicework.plans.silver import bronze_fallback, to_silver
 from sluicework.sources.mappings import sources
@@ -158,6 +159,27 @@ def run_ingest(
     return run
 
 
+LATEST_DDL = POSTINGS_DDL.replace(", ingest_run string", "")
+
+
+def latest_table(store: Store, parts: int = 64) -> KeyedTable:
+    """The store's table of the latest state of every posting."""
+    return KeyedTable(store.path("latest"), LATEST_DDL, "job_id", parts)
+
+
+def refresh_latest(spark: SparkSession, store: Store, run: str, curated: DataFrame | None = None, parts: int = 64) -> list[int]:
+    """Merge all Bronze rows of a run into the latest state: new postings are inserted, known ones replaced.
+
+    ``postings`` keeps what a posting was when it was first seen; this table has what it is now. Only the folders of the
+    run's keys are read and written; they are returned.
+    """
+    batch = spark.read.parquet(store.path("bronze", run))
+    silver = to_silver(first_per_key(batch, "job_id", "arrival"))
+    silver = silver.withColumn("filled", F.lit(False)) if curated is None else fill_from(silver, curated, "job_id", [c for c in curated.columns if c != "job_id"])
+    silver.write.mode("overwrite").parquet(store.path("latest_batches", run))
+    return latest_table(store, parts).merge(spark.read.parquet(store.path("latest_batches", run)), preserve=("created_at",))
+
+
 def backfill(spark: SparkSession, source: Store, target: Store) -> None:
     """All stored postings transformed again, written to another store; relative dates keep their fetch time."""
     rows = bronze_fallback(source.postings(spark))

@@ -261,3 +261,63 @@ def test_streams_with_state(spark, tmp_path):
         assert sorted(r.job_id for r in unique) == ["a", "b", "c", "d"]
     weeks = run(lambda r: jobs.weekly_stream(r, "posted_at", F.col("remote")), "weeks")
     assert {(str(r.week_start), r.job_count, r.remote_count) for r in weeks} == {("2024-01-01", 4, 2), ("2024-01-08", 1, 1)}
+
+
+def test_the_latest_state_of_each_posting(spark, landing, tmp_path):
+    store = ingest.Store(str(tmp_path / "store"))
+    ingest.run_ingest(spark, landing, store, fetched_at=stamp(), run="one")
+    assert ingest.refresh_latest(spark, store, "one", parts=8)
+    land(tmp_path / "landing", "theirstack", 2, [theirstack(1, job_title="Senior Changed"), theirstack(9)])
+    changed = {"theirstack": f"{tmp_path}/landing/theirstack/page=2"}
+    ingest.run_ingest(spark, changed, store, fetched_at=F.lit("2026-03-11 12:00:00").cast("timestamp"), run="two")
+    touched = ingest.refresh_latest(spark, store, "two", parts=8)
+    assert 1 <= len(touched) <= 2
+    rows = {r.job_id: r for r in ingest.latest_table(store, 8).read(spark).collect()}
+    assert len(rows) == 21 and {r.job_id: r.title for r in store.postings(spark).collect()}["theirstack_t1"] == "Cloud Engineer"
+    now = rows["theirstack_t1"]
+    assert (now.title, now.seniority, now.fetched_at) == ("Senior Changed", "Senior", datetime(2026, 3, 11, 12))
+    assert now.created_at < now.updated_at and rows["j1"].title == "Senior Cloud Engineer"
+
+
+def test_all_feeds_in_one_stream(spark, tmp_path):
+    root = tmp_path / "landing"
+
+    def put(feed, page, items, name="part"):
+        land(root, f"feed={feed}", page, items, name)
+
+    ENVELOPES.update({f"feed={s}": e for s, e in list(ENVELOPES.items())})
+    put("jsearch", 1, [jsearch(1), jsearch(2)])
+    put("adzuna", 1, [adzuna(1)])
+    put("theirstack", 1, [theirstack(1), {"job_title": "no id"}])
+    put("serpapi", 1, [serpapi(1)])
+    (root / "feed=adzuna" / "page=1" / "bad.json").write_text('{"results": [\n')
+    (root / "feed=other" / "page=1").mkdir(parents=True)
+    (root / "feed=other" / "page=1" / "x.json").write_text("{}\n\n")
+    store, mark = ingest.Store(str(tmp_path / "store")), str(tmp_path / "mark")
+    jobs.ingest_feeds(spark, str(root), store, mark, stamp()).awaitTermination()
+    put("serpapi", 2, [serpapi(1, title="Copy"), serpapi(2)])
+    put("jsearch", 3, [jsearch(3)])
+    jobs.ingest_feeds(spark, str(root), store, mark, stamp()).awaitTermination()
+    rows = {r.job_id: r for r in store.postings(spark).collect()}
+    assert sorted(rows) == ["adzuna_1", "j1", "j2", "j3", "serpapi_s1", "serpapi_s2", "theirstack_t1"]
+    assert rows["serpapi_s1"].title == "Cloud Engineer" and rows["j1"].location_city == "Montreal"
+    assert sorted((r.source, r.reason, r.records) for r in store.rejects(spark).collect()) == [
+        ("adzuna", "broken line", 1), ("other", "unknown feed", 1), ("theirstack", "no id", 1),
+    ]
+    runs = merge.current_runs(store.run_events(spark)).orderBy("run_at").collect()
+    assert [(r.status, r.jobs_fetched, r.jobs_new, r.jobs_skipped, r.jobs_rejected) for r in runs] == [("success", 5, 5, 0, 3), ("success", 3, 2, 1, 0)]
+
+
+def test_the_first_row_of_a_key_stays_across_batches(spark, tmp_path):
+    out, mark, kinds = str(tmp_path / "out"), str(tmp_path / "mark"), "k string, n int, v string"
+
+    def arrive(name, rows):
+        spark.createDataFrame(rows, kinds).coalesce(1).write.parquet(str(tmp_path / "in" / name))
+        stream = spark.readStream.schema(kinds).parquet(str(tmp_path / "in" / "*"))
+        jobs.first_rows(stream, "k", "n", out, mark).awaitTermination()
+        return sorted((r.k or "", r.n, r.v) for r in spark.read.parquet(f"{out}/*").collect())
+
+    assert arrive("1", [("a", 2, "later"), ("a", 1, "first"), ("b", 5, "b")]) == [("a", 1, "first"), ("b", 5, "b")]
+    got = arrive("2", [("a", 0, "too late"), ("c", 9, "c2"), ("c", 8, "c"), (None, 1, "no key")])
+    assert [r for r in got if r[0]] == [("a", 1, "first"), ("b", 5, "b"), ("c", 8, "c")]
+    assert [r for r in arrive("3", [("b", 1, "x"), ("d", 1, "d")]) if r[0]] == [("a", 1, "first"), ("b", 5, "b"), ("c", 8, "c"), ("d", 1, "d")]

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluicework.operators import dedup, joins, merge, quality
+from sluicework.operators.keyed import KeyedTable
 
 OLD, NEW = datetime(2024, 1, 1), datetime(2024, 2, 1)
 
@@ -101,3 +102,38 @@ def test_constraints(spark):
     assert sorted(r.d for r in quality.orphans(rows, parents, "d", "domain").collect()) == ["y", "z"]
     cleared = quality.clear_orphans(rows, parents, "d", "domain").collect()
     assert sorted(str(r.d) for r in cleared) == ["None", "None", "None", "x"]
+
+
+def files_of(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def test_a_stored_table_rewrites_only_what_a_batch_touches(spark, tmp_path):
+    table = KeyedTable(str(tmp_path / "t"), "id long, title string, created_at timestamp, updated_at timestamp", "id", parts=16)
+    assert table.read(spark).count() == 0
+    first = spark.range(500).select("id", F.concat(F.lit("old "), "id").alias("title"), F.col("id").alias("arrival"))
+    assert table.merge(first, now=F.lit(OLD)) == list(range(16))
+    before = files_of(tmp_path / "t")
+    batch = spark.createDataFrame([(7, "new 7", 1), (7, "later 7", 2), (1000, "new 1000", 1), (None, "nameless", 1)], "id long, title string, arrival int")
+    touched = table.merge(batch, now=F.lit(NEW))
+    assert 1 <= len(touched) <= 3
+    after = files_of(tmp_path / "t")
+    same = {f for f in before if f in after and before[f] == after[f]}
+    assert {int(f.split("=")[1].split("/")[0]) for f in before if f not in same} == set(touched)
+    got = {r.id: (r.title, r.created_at, r.updated_at) for r in table.read(spark).collect()}
+    assert len(got) == 502 and got[7] == ("new 7", OLD, NEW) and got[1000] == ("new 1000", NEW, NEW) and got[8] == ("old 8", OLD, OLD)
+    assert got[None] == ("nameless", NEW, NEW)
+    assert table.merge(batch, now=F.lit(NEW)) == touched
+    again = table.read(spark).filter("id IS NOT NULL")
+    assert {r.id: (r.title, r.created_at, r.updated_at) for r in again.collect()} == {i: v for i, v in got.items() if i is not None}
+    assert table.merge(batch.filter("false")) == []
+
+
+def test_keys_of_a_stored_table_are_found_in_their_folders(spark, tmp_path):
+    table = KeyedTable(str(tmp_path / "t"), "id string, n long", "id", parts=16)
+    table.merge(spark.range(300).select(F.concat(F.lit("k"), "id").alias("id"), F.col("id").alias("n"), F.lit(1).alias("arrival")))
+    found = table.get(spark, ["k3", "k299", "none"])
+    assert sorted((r.id, r.n) for r in found.collect()) == [("k299", 299), ("k3", 3)]
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [part_of_16" in text and "In(id" in text
+    assert table.get(spark, []).count() == 0

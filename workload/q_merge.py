@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluicework.operators import dedup, filters, joins, merge, quality
+from sluicework.operators.keyed import KeyedTable
+from sluicework.session import working_folder
 from workload import derive, oracle
 from workload.registry import query
 from workload.tables import Tables
@@ -199,6 +203,30 @@ def merge_upsert(t: Tables) -> DataFrame:
     return merged.withColumns(days)
 
 
+_MERGED = (
+    f"WITH {_HISTORY}, {_BATCH} SELECT coalesce(b.id, t.id) AS id, CASE WHEN b.id IS NULL THEN t.status ELSE b.status "
+    "END AS status, CASE WHEN b.id IS NULL THEN t.price ELSE b.price END AS price, t.note, "
+    f"strftime(coalesce(t.created_at, TIMESTAMP '{_NOW}'), '%Y-%m-%d') AS created_at, "
+    f"strftime(CASE WHEN b.id IS NULL THEN t.updated_at ELSE TIMESTAMP '{_NOW}' END, '%Y-%m-%d') AS updated_at "
+    "FROM target t FULL JOIN (SELECT * FROM batch WHERE place = 1) b ON t.id = b.id"
+)
+
+
+@query(_MERGED)
+def merge_stored(t: Tables) -> DataFrame:
+    """The same in a stored table, into which the batch is merged in two parts."""
+    rows, new = history(t), batch(t)
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    table = KeyedTable(f"{working_folder(t.spark)}/merged-{uuid.uuid4().hex}", ddl, "id", parts=16)
+    first = rows.withColumn("_part", table.part(F.col("id"))).withColumnRenamed("_part", "part_of_16")
+    first.repartition(8, "part_of_16").write.partitionBy("part_of_16").parquet(table.path)
+    now = F.lit(_NOW).cast("timestamp_ntz")
+    for half in (0, 1):
+        table.merge(new.filter(F.col("id") % 2 == half), now=now)
+    days = {c: F.date_format(c, "yyyy-MM-dd") for c in ("created_at", "updated_at")}
+    return table.read(t.spark).withColumns(days)
+
+
 @query(
     f"WITH {oracle.SILVER}, companies AS ({derive.COMPANIES}), stubs AS (SELECT company_domain AS domain, company_name "
     "AS name FROM silver WHERE company_domain IS NOT NULL QUALIFY row_number() OVER (PARTITION BY company_domain "
