@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import json
 import os
-import re
+import string
 import struct
 import uuid
 import zlib
@@ -159,10 +159,12 @@ def open_file(path: str) -> TokenFile:
 @lru_cache(maxsize=4)
 def _words_of(tokenizer: str) -> WordCache:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
     model = Tokenizer.from_file(tokenizer)
-
+    # For words of ASCII letters in lower case, which nothing else changes or cuts.
+    bare = Tokenizer(model.model)
+    bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
     suffix = json.loads(model.to_str())["model"].get("end_of_word_suffix") or ""
     ends = np.zeros(model.get_vocab_size(), dtype=bool)
     ends[[i for token, i in model.get_vocab().items() if suffix and token.endswith(suffix)]] = True
@@ -173,19 +175,23 @@ def _words_of(tokenizer: str) -> WordCache:
     def encode(words: list[bytes]) -> list[bytes]:
         """Words of letters only are encoded as one text, which is cheaper, and told apart by the tokens that end words."""
         texts = [w.decode() for w in words]
-        letters = [k for k, t in enumerate(texts) if t.isalpha()]
-        others = [k for k, t in enumerate(texts) if not t.isalpha()]
+        kinds: tuple[list[int], list[int], list[int]] = ([], [], [])
+        for k, t in enumerate(texts):
+            kinds[(0 if t.isascii() else 1) if t.isalpha() else 2].append(k)
+        plain, letters, others = kinds
         found: list[bytes] = [b""] * len(words)
-        for start in range(0, len(letters), WORDS_A_TEXT):
-            part = letters[start : start + WORDS_A_TEXT]
-            ids = np.array(model.encode(" ".join(texts[k] for k in part), add_special_tokens=False).ids, dtype="<u4")
-            cuts = np.flatnonzero(ends[ids]) + 1
-            if len(cuts) == len(part):
-                raw, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
-                for k, a, b in zip(part, at, at[1:], strict=False):
-                    found[k] = raw[a:b]
-            else:
-                others += part
+        for coder, chosen in ((bare, plain), (model, letters)):
+            for start in range(0, len(chosen), WORDS_A_TEXT):
+                part = chosen[start : start + WORDS_A_TEXT]
+                (coded,) = coder.encode_batch_fast([" ".join([texts[k] for k in part])], add_special_tokens=False)
+                ids = np.array(coded.ids, dtype="<u4")
+                cuts = np.flatnonzero(ends[ids]) + 1
+                if len(cuts) == len(part):
+                    raw, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
+                    for k, a, b in zip(part, at, at[1:], strict=False):
+                        found[k] = raw[a:b]
+                else:
+                    others += part
         for k, raw in zip(others, one_by_one([texts[k] for k in others]), strict=True):
             found[k] = raw
         return found
@@ -193,20 +199,59 @@ def _words_of(tokenizer: str) -> WordCache:
     return WordCache(encode)
 
 
-# Between a letter or digit and a mark, where a word of this kind of tokenizer always ends.
-_WORD_END = re.compile(rb"([A-Za-z0-9])([!-/:-@\[-`{-~])")
+_SPACE, _ALNUM, _MARK = (np.array([chr(c) in x if c < 128 else False for c in range(256)]) for x in (" \t\n\v\f\r", string.ascii_letters + string.digits, string.punctuation))
+
+
+def _special(raw: bytes) -> bool:
+    """Special tokens hold marks and are not put into lower case."""
+    return b"<|" in raw
+
+
+def _word_ids(raw: bytes, tokenizer: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of all words of some bytes, and for each word where it starts and how many ids it has.
+
+    Words are told apart by arrays of bytes; each different one is looked up once and its ids are gathered.
+    """
+    data = np.frombuffer(raw, dtype=np.uint8)
+    space = _SPACE[data]
+    after = np.concatenate([[True], space[:-1]])
+    cut = np.concatenate([[False], _ALNUM[data[:-1]] & _MARK[data[1:]]]) if len(data) and not _special(raw) else False
+    first = ~space & (after | cut)
+    starts, kept = np.flatnonzero(first), data[~space]
+    if not len(starts):
+        return np.zeros(0, np.uint32), starts, starts
+    offsets = np.append(np.flatnonzero(first[~space]), len(kept)).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(kept)]).dictionary_encode()
+    parts = _words_of(tokenizer).look_up(words.dictionary.to_pylist())
+    sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
+    flat, begins = np.frombuffer(b"".join(parts), dtype="<u4"), np.cumsum(sizes) - sizes
+    which = words.indices.to_numpy()
+    counts = sizes[which]
+    places = np.repeat(begins[which] - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+    return flat[places], starts, counts
+
+
+def tokenize_all(texts: list[str], tokenizer: str, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of some texts in a row, each followed by the end id, and how many each text has.
+
+    The tokenizer drops white space, lowers case and ends words where letters or digits end. The ids of a text are then
+    those of its words in a row (split at ASCII white space and before marks; texts with the opening of special tokens
+    at white space only), and words that come again are not encoded again.
+    """
+    raws = [t.encode() for t in texts]
+    if any(map(_special, raws)) and len(raws) > 1:
+        parts = [tokenize_all([t], tokenizer, end) for t in texts]
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    whole = b"\n".join(raws)
+    ids, starts, counts = _word_ids(whole if _special(whole) else whole.lower(), tokenizer)
+    ends = np.cumsum([len(r) + 1 for r in raws])
+    before = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(starts, ends)]
+    return np.insert(ids, before, end).astype(np.uint32), np.diff(before, prepend=0) + 1
 
 
 def tokenize(text: str, tokenizer: str, end: int) -> np.ndarray:
-    """Ids of a text and the end id, by a tokenizer that drops white space, lowers case and ends words where letters or
-    digits end. The ids of a text are then those of its words in a row (split at ASCII white space and before marks;
-    special tokens hold marks, so texts with their opening are split at white space only), and words that come
-    again are not encoded again."""
-    whole = text.encode()
-    if b"<|" not in whole:
-        whole = _WORD_END.sub(rb"\1 \2", whole.lower())
-    raw = _words_of(tokenizer).join(whole.split())
-    return np.append(np.frombuffer(raw, dtype="<u4"), np.uint32(end)).astype(np.uint32)
+    """Ids of a text and the end id."""
+    return tokenize_all([text], tokenizer, end)[0]
 
 
 # --- files ------------------------------------------------------------------------------------------------------------
@@ -236,15 +281,14 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end: int = 2, tex
 
         where[0].create_dir(where[1], recursive=True)
         for batch in small_batches(batches):
-            for name, text_now in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
-                ids = tokenize(text_now, tokenizer, end)
-                names.append(name)
-                lengths.append(len(ids))
-                pieces.append(ids)
-                size += len(ids)
-                if size >= TOKENS_A_FILE:
-                    yield close()
-                    names, lengths, pieces, size, seq = [], [], [], 0, seq + 1
+            ids, counts = tokenize_all(texts_of(batch), tokenizer, end)
+            names += batch.column("doc_id").to_pylist()
+            lengths += counts.tolist()
+            pieces.append(ids)
+            size += len(ids)
+            if size >= TOKENS_A_FILE:
+                yield close()
+                names, lengths, pieces, size, seq = [], [], [], 0, seq + 1
         if names:
             yield close()
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 # Bytes of one generation, with what Python needs for an entry; two are kept. Longer words are worked out each time.
-GENERATION = 24 << 20
+GENERATION = 48 << 20
 ENTRY = 200
 MAX_LENGTH = 64
 
@@ -25,9 +25,13 @@ class WordCache:
 
     def join(self, words: list) -> bytes:
         """The bytes of all words in a row."""
+        return b"".join(self.look_up(words))
+
+    def look_up(self, words: list) -> list[bytes]:
+        """The bytes of each word."""
         parts = list(map(self._known.get, words))
         if None not in parts:
-            return b"".join(parts)
+            return parts
         needed = {w for w, part in zip(words, parts, strict=True) if part is None}
         found = {w: self._older[w] for w in needed if w in self._older}
         missing = [w for w in needed if w not in found]
@@ -40,4 +44,4 @@ class WordCache:
                 self._older, self._known, self._size = self._known, {}, 0
             self._known[word] = part
             self._size += size
-        return b"".join([found[w] if part is None else part for w, part in zip(words, parts, strict=True)])
+        return [found[w] if part is None else part for w, part in zip(words, parts, strict=True)]
