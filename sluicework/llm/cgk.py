@@ -1,12 +1,14 @@
 """Benchmark decontamination: windows of a document within a small edit distance of a benchmark item.
 
-Texts are compared as their lower-case words joined by single blanks. An item that may have k edits is cut into k + 1
-pieces; whatever the edits are, one piece stands unchanged within k characters of its place. So windows start near
-where a piece of an item says that it would, at words, and within runs of scripts without blanks at any character. A
-bound on shared grams of characters drops places that cannot be near enough; the rest is verified by exact edit distance.
-Windows and items are also embedded by CGK random walks (at each step the walk shows a character and moves on or stays,
-as a random bit for this step and character says), so that a small edit distance becomes a small Hamming distance;
-further items that agree with a window in one of many samples of positions are verified, too. Samples only add.
+Texts are compared as their lower-case words joined by single blanks. Windows of an item's size are embedded by CGK
+random walks: at each step the walk shows a character and moves on or stays, as a random bit for this step and character says,
+so that a small edit distance becomes a small Hamming distance. A window and an item become candidates when their
+embeddings agree in one of many samples of positions; candidates are verified by exact edit distance.
+
+Most windows of a corpus are near no item, so a filter without loss comes before the walks. An item that may have k edits is
+cut into k + 2 pieces; whatever the edits are, two pieces stand unchanged within k characters of their places. Windows are
+embedded only where two pieces of an item of their size say that it could start, at words, and within runs of scripts
+without blanks at any character, and where a bound on shared grams of characters allows it.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ from sluicework.llm.common import lower_words, small_batches, texts_of
 CLASSES = 128  # of characters, by code point; only the walks use them
 # Windows embedded at once, and characters of benchmark items matched in one pass over the documents.
 WINDOWS_AT_ONCE = 2048
-ITEM_CHARS_A_PASS = 8_000_000
+# An item takes some 10 kB in a worker: 100 MB for 10,000 items of 100 characters.
+ITEM_CHARS_A_PASS = 1_000_000
 KNOWN_WINDOWS = 50_000
 # Of a hash, looked up in a table of marks before the sorted hashes.
 MARK_BITS = 20
@@ -38,14 +41,19 @@ GRAM_BINS = 1 << GRAM_BITS
 
 @dataclass(frozen=True)
 class Settings:
-    """``edits`` is the share of an item's characters that may be edited. The chance that an embedded pair at Hamming
-    distance h meets is 1 - (1 - (1 - h)^sample)^(walks * samples): above 0.99 for h up to 0.6 if samples were
-    independent."""
+    """``edits`` is the share of an item's characters that may be edited.
+
+    ``samples`` samples are taken of each of ``walks`` embeddings, each of ``sample`` positions within ``stretch`` steps:
+    where two walks are in step they stay so until the next edit, so neighbouring positions agree together. With the
+    defaults the recall under edits of a tenth of all characters is above 0.99, and a window meets 2 to 7 of 100 items by
+    chance (see the tests).
+    """
 
     edits: float = 0.1
-    walks: int = 6
-    samples: int = 12
-    sample: int = 3
+    walks: int = 8
+    samples: int = 32
+    sample: int = 12
+    stretch: int = 24
     random: int = 11
 
 
@@ -75,7 +83,7 @@ def edit_distance(masks: dict[str, int], length: int, text: str, most: int) -> i
 def _pairs(text: str) -> np.ndarray:
     """How often each pair of neighbouring characters occurs, pairs folded into some bins."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
-    return np.bincount((codes[:-1] * 37 + codes[1:]) % 1021, minlength=1021)
+    return np.bincount((codes[:-1] * 37 + codes[1:]) % 1021, minlength=1021).clip(max=32_767).astype(np.int16)
 
 
 # Scripts without blanks between words, as ranges of code points.
@@ -123,6 +131,20 @@ def _joined(words: list[bytes]) -> str:
     return b" ".join(words).decode("utf-8", "surrogatepass")
 
 
+def _merged(ranges: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
+    """Ranges ``(item, first, last)`` of one item that overlap as one."""
+    now: tuple[int, int, int] | None = None
+    for i, first, last in sorted(ranges):
+        if now and now[0] == i and first <= now[2] + 1:
+            now = i, now[1], max(now[2], last)
+            continue
+        if now:
+            yield now
+        now = i, first, last
+    if now:
+        yield now
+
+
 class Matcher:
     """The items of one pass, indexed by seeds and by samples of their embeddings."""
 
@@ -132,8 +154,11 @@ class Matcher:
         self.items = [(item, words, _joined(words)) for item, words in split if words]
         self.most = [int(settings.edits * len(text)) for *_, text in self.items]
         pieces: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+        self.needed: list[int] = []
         for i, (_, _, text) in enumerate(self.items):
-            count, codes = self.most[i] + 1, _codes(text)
+            # An item too short for so many pieces has fewer, of which as many less stand.
+            count, codes = min(self.most[i] + 2, len(text)), _codes(text)
+            self.needed.append(count - self.most[i])
             size = len(text) // count
             grams = _grams(codes, size)
             pieces[size].extend((int(grams[at]), i, at) for at in (j * len(text) // count for j in range(count)))
@@ -150,9 +175,9 @@ class Matcher:
             self.by_words[len(words)].append(i)
         self.masks = [self._masks(text) for *_, text in self.items]
         self.pairs = [_pairs(text) for *_, text in self.items]
-        self.grams = [[np.bincount(_bins(_codes(text), g), minlength=GRAM_BINS).astype(np.int16) for g in BOUNDS] for *_, text in self.items]
+        self.grams = [[np.bincount(_bins(_codes(text), g), minlength=GRAM_BINS).clip(max=32_767).astype(np.int16) for g in BOUNDS] for *_, text in self.items]
         self._prepare_samples()
-        self._known: dict[tuple[int, str, str], tuple[set[int], list[tuple[int, int]]]] = {}
+        self._known: dict[tuple[int, str, str], list[tuple[int, int]]] = {}
 
     @staticmethod
     def _masks(text: str) -> dict[str, int]:
@@ -171,13 +196,12 @@ class Matcher:
         self.places, self.tables = {}, {}
         for n, members in sorted(self.by_words.items()):
             reach = 2 * min(len(self.items[i][2]) for i in members)
-            self.places[n] = random.integers(0, reach, (s.walks, s.samples, s.sample))
+            near = random.integers(0, max(1, reach - s.stretch + 1), (s.walks, s.samples, 1))
+            self.places[n] = np.minimum(near + random.integers(0, s.stretch, (s.walks, s.samples, s.sample)), reach - 1)
             keys = self._keys(self.embed([self.items[i][2] for i in members]), n)
-            table: dict[tuple[int, int], list[int]] = defaultdict(list)
-            for row, i in zip(keys, members, strict=True):
-                for band, key in enumerate(row.tolist()):
-                    table[band, key].append(i)
-            self.tables[n] = np.unique(keys ^ np.arange(keys.shape[1], dtype=np.uint64)), dict(table)
+            owners = np.repeat(np.array(members), keys.shape[1])
+            order = np.argsort(keys.ravel(), kind="stable")
+            self.tables[n] = keys.ravel()[order], owners[order]
 
     def embed(self, texts: list[str]) -> np.ndarray:
         """CGK embeddings, (texts, walks, steps); class 0 beyond a text's end."""
@@ -198,13 +222,15 @@ class Matcher:
         return out.reshape(self.steps, len(texts), walks).transpose(1, 2, 0)
 
     def _keys(self, embedded: np.ndarray, words: int) -> np.ndarray:
-        """Keys of all samples, (texts, walks * samples)."""
+        """Keys of all samples with their numbers, (texts, walks * samples)."""
         places = self.places[words]
         key = np.zeros((len(embedded), *places.shape[:2]), dtype=np.uint64)
         for k in range(places.shape[2]):
             shown = np.take_along_axis(embedded, np.broadcast_to(places[None, :, :, k], key.shape), axis=2)
-            key = key * np.uint64(CLASSES) + shown
-        return (key.reshape(len(embedded), -1) << np.uint64(12))
+            key = (key ^ shown) * np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(29)
+        key = key.reshape(len(embedded), -1)
+        return (key << np.uint64(12)) ^ np.arange(key.shape[1], dtype=np.uint64)
 
     # --- matching -----------------------------------------------------------------------------------------------------
 
@@ -213,47 +239,56 @@ class Matcher:
         found: list[tuple[int, int, int]] = []
         if not len(codes):
             return found
-        bins: list[np.ndarray] = []
-        most, lengths = np.array(self.most), np.array([len(text) for *_, text in self.items])
+        met: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for size, (marks, hashes, items, offsets) in self.pieces.items():
             grams = _grams(codes, size)
             at = np.flatnonzero(marks[grams >> np.uint64(64 - MARK_BITS)])
             low, high = np.searchsorted(hashes, grams[at], "left"), np.searchsorted(hashes, grams[at], "right")
             counts = high - low
             rows = np.repeat(low - np.append(0, np.cumsum(counts)[:-1]), counts) + np.arange(counts.sum())
-            item, start = items[rows], np.repeat(at, counts) - offsets[rows]
-            # Starts go by stretches of k + 1 characters.
-            stretch = start // (most[item] + 1)
-            for key in np.unique((item << 40) + stretch + (1 << 39)).tolist() if len(item) else ():
-                i, s = key >> 40, (key & ((1 << 40) - 1)) - (1 << 39)
-                k, n = int(most[i]), int(lengths[i])
-                first, last = max(0, s * (k + 1) - k), s * (k + 1) + 2 * k
-                bins = bins or [_bins(codes, g) for g in BOUNDS]
-                # An edit takes away as many grams as they have characters at most.
-                if last >= 0 and all(
-                    np.maximum(own - np.bincount(all_of[first : max(first, last + n + k - g + 1)], minlength=GRAM_BINS), 0).sum() <= g * k
-                    for g, own, all_of in zip(BOUNDS, self.grams[i], bins, strict=True)
-                ):
-                    found.append((i, first, last))
+            met.append((items[rows], np.repeat(at, counts) - offsets[rows], offsets[rows]))
+        item, start, offset = (np.concatenate(c) for c in zip(*met, strict=True))
+        most, needed = np.array(self.most), np.array(self.needed)
+        order = np.lexsort((offset, start, item))
+        item, start, offset = item[order], start[order], offset[order]
+        # Two pieces in their places put the item's start within k of both: among those in order, two neighbours do.
+        k = most[item[:-1]]
+        pair = (item[1:] == item[:-1]) & (offset[1:] != offset[:-1]) & (start[1:] - start[:-1] <= 2 * k)
+        alone = needed[item] == 1
+        ranges = [
+            *zip(item[:-1][pair].tolist(), (start[1:] - k)[pair].tolist(), (start[:-1] + k)[pair].tolist(), strict=True),
+            *zip(item[alone].tolist(), (start - most[item])[alone].tolist(), (start + most[item])[alone].tolist(), strict=True),
+        ]
+        bins: list[np.ndarray] = []
+        for i, first, last in _merged(ranges):
+            k, n, first = self.most[i], len(self.items[i][2]), max(0, first)
+            bins = bins or [_bins(codes, g) for g in BOUNDS]
+            # An edit takes away as many grams as they have characters at most.
+            if last >= first and all(
+                np.maximum(own - np.bincount(all_of[first : max(first, last + n + k - g + 1)], minlength=GRAM_BINS), 0).sum() <= g * k
+                for g, own, all_of in zip(BOUNDS, self.grams[i], bins, strict=True)
+            ):
+                found.append((i, first, last))
+        return found
+
+    def _candidates(self, texts: list[str], words: int) -> list[set[int]]:
+        """For windows of an item's number of words, the items whose embeddings agree with theirs in some sample."""
+        known, owners = self.tables[words]
+        keys = self._keys(self.embed(texts), words)
+        low, high = np.searchsorted(known, keys, "left"), np.searchsorted(known, keys, "right")
+        found: list[set[int]] = [set() for _ in texts]
+        for row, sample in zip(*np.nonzero(high > low), strict=True):
+            found[row].update(owners[low[row, sample] : high[row, sample]].tolist())
         return found
 
-    def _match(self, texts: list[tuple[int, str, str]], named: list[set[int]]) -> list[list[tuple[int, int]]]:
-        """For windows (words of the item, text, text and what follows), with the items whose pieces name them: the
-        items within the allowed distance of the window, or of one that ends somewhat later or earlier, as (item,
-        distance)."""
-        embedded = self.embed([text for _, text, _ in texts])
+    def _match(self, texts: list[tuple[int, str, str]]) -> list[list[tuple[int, int]]]:
+        """For windows (words of the item, text, text and what follows): the items within the allowed distance of the
+        window, or of one that ends somewhat later or earlier, as (item, distance)."""
         results: list[list[tuple[int, int]]] = [[] for _ in texts]
         sizes = np.array([n for n, *_ in texts])
         for n in np.unique(sizes).tolist():
-            rows = np.flatnonzero(sizes == n)
-            sorted_keys, table = self.tables[n]
-            keys = self._keys(embedded[rows], n)
-            marked = keys ^ np.arange(keys.shape[1], dtype=np.uint64)
-            at = np.minimum(np.searchsorted(sorted_keys, marked), len(sorted_keys) - 1)
-            meet: dict[int, set[int]] = {int(row): set(named[row]) for row in rows}
-            for r, band in zip(*np.nonzero(sorted_keys[at] == marked), strict=True):
-                meet[int(rows[r])].update(table.get((int(band), int(keys[r, band])), ()))
-            for row, candidates in meet.items():
+            rows = np.flatnonzero(sizes == n).tolist()
+            for row, candidates in zip(rows, self._candidates([texts[r][1] for r in rows], n), strict=True):
                 pairs = _pairs(texts[row][2])
                 for i in sorted(candidates):
                     pattern = self.items[i][2]
@@ -276,19 +311,20 @@ class Matcher:
     def hits(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
         """For each text, ``(item index, first word, end word, distance)`` of every item in it: its best window."""
         best: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
-        waiting: dict[tuple[int, str, str], tuple[set[int], list[tuple[int, int, int]]]] = {}
+        waiting: dict[tuple[int, str, str], set[tuple[int, int, int]]] = defaultdict(set)
 
-        def settle(places: list[tuple[int, int, int]], found: list[tuple[int, int]]) -> None:
+        def settle(places: set[tuple[int, int, int]], found: list[tuple[int, int]]) -> None:
             for doc, start, end in places:
                 for i, distance in found:
                     best[doc][i] = min(best[doc].get(i, (distance, start, end)), (distance, start, end))
 
         def flush() -> None:
             windows = list(waiting)
-            matched = self._match(windows, [waiting[w][0] for w in windows])
-            for window, found in zip(windows, matched, strict=True):
-                settle(waiting[window][1], found)
-                self._known[window] = waiting[window][0], found
+            for start in range(0, len(windows), WINDOWS_AT_ONCE):
+                part = windows[start : start + WINDOWS_AT_ONCE]
+                for window, found in zip(part, self._match(part), strict=True):
+                    settle(waiting[window], found)
+                    self._known[window] = found
             waiting.clear()
 
         for doc, text in enumerate(texts):
@@ -299,24 +335,17 @@ class Matcher:
             if not places:
                 continue
             starts, blanks = _starts(codes), np.flatnonzero(codes == 32)
-            seen: dict[tuple[int, str, str], tuple[set[int], set[tuple[int, int, int]]]] = {}
             for i, first, last in places:
                 size, length = len(self.items[i][1]), len(self.items[i][2])
                 for at in starts[np.searchsorted(starts, first) : np.searchsorted(starts, last, "right")].tolist():
                     word = int(np.searchsorted(blanks, at))
                     # One character more shows whether a word ends.
                     window = size, joined[at : at + length], joined[at : at + length + self.most[i] + 1]
-                    named, where = seen.setdefault(window, (set(), set()))
-                    named.add(i)
-                    where.add((doc, word, min(len(words), word + size)))
-            for window, (named, where) in seen.items():
-                known = self._known.get(window)
-                if known and named <= known[0]:
-                    settle(list(where), known[1])
-                else:
-                    both = waiting.setdefault(window, (set(), []))
-                    both[0].update(named)
-                    both[1].extend(where)
+                    where = doc, word, min(len(words), word + size)
+                    if window in self._known:
+                        settle({where}, self._known[window])
+                    else:
+                        waiting[window].add(where)
             if len(waiting) >= WINDOWS_AT_ONCE:
                 flush()
             if len(self._known) > KNOWN_WINDOWS:
@@ -326,19 +355,32 @@ class Matcher:
         return [[(i, s, e, d) for i, (d, s, e) in sorted(b.items())] for b in best]
 
 
-def passes(benchmark: DataFrame, settings: Settings) -> list[Matcher]:
-    """Matchers for all items of the benchmark, each of a bounded size: a benchmark of any size takes several passes."""
+class Pass:
+    """The items of one pass over the documents. Only their texts travel; each worker builds the matcher once."""
+
+    def __init__(self, items: list[tuple[int | None, str]], settings: Settings) -> None:
+        self.items, self.settings = items, settings
+        self._matcher: Matcher | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_matcher": None}
+
+    def matcher(self) -> Matcher:
+        self._matcher = self._matcher or Matcher(self.items, self.settings)
+        return self._matcher
+
+
+def passes(benchmark: DataFrame, settings: Settings) -> Iterator[Pass]:
+    """All items of the benchmark in passes of a bounded size; the driver holds one at a time."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text IS NOT NULL").distinct()
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     count = max(1, -(-total // ITEM_CHARS_A_PASS))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
-    found = []
     for k in range(count):
         items = sorted(((r.item_id, r.text) for r in rows.filter(part == k).collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
-        matcher = Matcher(items, settings)
-        if matcher.items:
-            found.append(matcher)
-    return found
+        items = [(i, t) for i, t in items if lower_words(t)]
+        if items:
+            yield Pass(items, settings)
 
 
 OUT = "doc_id long, item_id long, first_word long, end_word long, distance long"
@@ -353,11 +395,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = docs.sparkSession.createDataFrame([], OUT)
-    for matcher in passes(benchmark, settings):
-        shared = docs.sparkSession.sparkContext.broadcast(matcher)
+    for one in passes(benchmark, settings):
+        shared = docs.sparkSession.sparkContext.broadcast(one)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher = shared.value
+            matcher = shared.value.matcher()
             for batch in small_batches(batches, 2048):
                 ids, hits = batch.column("doc_id").to_pylist(), matcher.hits(texts_of(batch))
                 out = [(d, matcher.items[i][0], *rest) for d, own in zip(ids, hits, strict=True) for i, *rest in own]
@@ -375,11 +417,11 @@ def is_contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings =
         @F.arrow_udf("boolean")
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for batch in batches:
-                yield pa.array([bool(own) for own in shared.value.hits([t or "" for t in batch.to_pylist()])], pa.bool_())
+                yield pa.array([bool(own) for own in shared.value.matcher().hits([t or "" for t in batch.to_pylist()])], pa.bool_())
 
         return run
 
     answer = F.lit(False)
-    for matcher in passes(benchmark, settings):
-        answer = answer | marker(docs.sparkSession.sparkContext.broadcast(matcher))(F.col(text))
+    for one in passes(benchmark, settings):
+        answer = answer | marker(docs.sparkSession.sparkContext.broadcast(one))(F.col(text))
     return answer
