@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,6 +34,8 @@ FORMATTING = frozenset("a abbr b big cite code del dfn em font i ins kbd label m
 SCOPE = frozenset("html body table td th caption template button object marquee applet".split())
 TABLE_PARTS = frozenset("table thead tbody tfoot tr".split())
 
+# Elements that may be open at once, so that looking for one to close takes a bounded time. Deeper ones are not opened, their
+# text stands where they stand; one that is not displayed is opened still, and hides what is in it.
 DEEPEST = 512
 WIDEST = 60  # of a column that is aligned; longer cells run over, so that padding stays in proportion to the text
 
@@ -45,7 +48,8 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 BLANKS = re.compile(r"[ \t\n\r\f]+")
-NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
+VISIBILITY = re.compile(r"visibility\s*:\s*(visible|hidden|collapse)", re.I)
 
 
 class Node:
@@ -71,6 +75,8 @@ class Builder:
         self.root.children.append(self.body)
         self.open = [self.root, self.body]
         self.head: Node | None = None
+        # Elements too deep to be opened, whose ends close nothing else; apart for those in a hidden one that was opened.
+        self.passed: list[dict[str, int]] = [{}]
 
     def _close(self, tags: frozenset[str] | tuple[str, ...], bounds: frozenset[str]) -> bool:
         """Close the innermost open element of ``tags``, and all within it, unless one of ``bounds`` lies between."""
@@ -78,6 +84,8 @@ class Builder:
             tag = self.open[k].tag
             if tag in tags:
                 del self.open[k:]
+                if k <= DEEPEST:
+                    self.passed = self.passed[:1] if k == DEEPEST else [{}]
                 return True
             if tag in bounds:
                 return False
@@ -141,12 +149,17 @@ class Builder:
         else:
             self._push(node)
             if closed and tag in ("svg", "math"):
-                self.open.pop()
+                self._close((tag,), frozenset())
 
     def _push(self, node: Node) -> None:
         self._place(node)
         if len(self.open) < DEEPEST:
             self.open.append(node)
+        elif len(self.open) == DEEPEST and not _shown(node, node.attributes()):
+            self.open.append(node)
+            self.passed.append({})
+        else:
+            self.passed[-1][node.tag] = self.passed[-1].get(node.tag, 0) + 1
 
     def _place(self, node: Node | str) -> None:
         top = self.open[-1]
@@ -163,6 +176,9 @@ class Builder:
     def end(self, tag: str) -> None:
         if tag in ("html", "body"):
             return
+        if self.passed[-1].get(tag):
+            self.passed[-1][tag] -= 1
+            return
         if tag == "br":
             self.start("br", "")
         elif tag == "head":
@@ -290,30 +306,51 @@ class Lines:
         return self.lines
 
 
+def _columns(text: str) -> int:
+    """How many columns a text takes: two for a wide character, none for a mark on the one before."""
+    if text.isascii():
+        return len(text)
+    return sum(0 if unicodedata.category(c) in ("Mn", "Me", "Cf") else 1 + (unicodedata.east_asian_width(c) in "WF") for c in text)
+
+
 class Table:
     def __init__(self) -> None:
-        self.rows: list[list[tuple[list[str], int]]] = []
+        self.rows: list[list[tuple[list[str], int, int]]] = []
+
+    def _places(self) -> Iterator[list[tuple[int, list[str], int]]]:
+        """For each row its cells with the column of each: those free of cells that reach down from rows above."""
+        taken: dict[int, int] = {}
+        for row in self.rows:
+            placed, at, new = [], 0, {}
+            for cell, wide, high in row:
+                while taken.get(at, 0):
+                    at += 1
+                placed.append((at, cell, wide))
+                if high > 1:
+                    new.update(dict.fromkeys(range(at, at + wide), high))
+                at += wide
+            yield placed
+            taken = {c: n - 1 for c, n in (taken | new).items() if n > 1}
 
     def lines(self) -> list[str]:
         """Rows with aligned columns, two blanks apart. A cell of several lines makes its row as high; one that spans
-        columns leaves the next ones empty."""
-        widths: dict[int, int] = {}
-        for row in self.rows:
-            at = 0
-            for cell, span in row:
-                wide = max(map(len, cell), default=0)
+        columns leaves the next ones empty, one that spans rows its column in the next rows."""
+        rows, widths = list(self._places()), {}
+        for row in rows:
+            for at, cell, span in row:
+                wide = max(map(_columns, cell), default=0)
                 if span == 1 and wide <= WIDEST:
                     widths[at] = max(widths.get(at, 0), wide)
-                at += span
         out = []
-        for row in self.rows:
-            for k in range(max((len(cell) for cell, _ in row), default=0)):
-                pieces, at = [], 0
-                for cell, span in row:
+        for row in rows:
+            for k in range(max((len(cell) for _, cell, _ in row), default=0)):
+                pieces, next_ = [], 0
+                for at, cell, span in row:
+                    pieces.append(" " * sum(widths.get(c, 0) + 2 for c in range(next_, at)))
                     room = sum(widths.get(c, 0) + 2 for c in range(at, at + span))
                     text = cell[k] if k < len(cell) else ""
-                    pieces.append(text.ljust(room - 2) + "  ")
-                    at += span
+                    pieces.append(text + " " * max(0, room - 2 - _columns(text)) + "  ")
+                    next_ = at + span
                 out.append("".join(pieces).rstrip())
         return out
 
@@ -333,9 +370,9 @@ def _number(value: str | None, default: int, most: int = 10**6) -> int:
 def render(root: Node) -> str:
     """The visible text of a tree."""
     outs, tables, lists, kept = [Lines()], [], [], 0
-    stack: list[tuple[Node, dict[str, str], Iterator]] = [(root, {}, iter(root.children))]
+    stack: list[tuple[Node, dict[str, str], Iterator, bool]] = [(root, {}, iter(root.children), True)]
     while stack:
-        node, attrs, children = stack[-1]
+        node, attrs, children, seen = stack[-1]
         child = next(children, None)
         if child is None:
             stack.pop()
@@ -343,13 +380,18 @@ def render(root: Node) -> str:
         elif node.tag == "details" and "open" not in attrs and getattr(child, "tag", "") != "summary":
             continue  # of details that are not open, only the summary shows
         elif isinstance(child, str):
-            outs[-1].write(child, kept > 0)
+            if seen:
+                outs[-1].write(child, kept > 0)
         else:
             own = child.attributes()
             if not _shown(child, own):
                 continue
-            kept += _enter(child, own, outs, tables, lists)
-            stack.append((child, own, iter(child.children)))
+            # Visibility goes down to what is inside, until an element there says otherwise.
+            said = VISIBILITY.findall(own["style"]) if "style" in own else ()
+            now = said[-1].lower() == "visible" if said else seen
+            if now or child.tag not in ("br", "input"):
+                kept += _enter(child, own, outs, tables, lists)
+                stack.append((child, own, iter(child.children), now))
     return "\n".join(outs[0].result())
 
 
@@ -396,7 +438,9 @@ def _leave(node: Node, attrs: dict[str, str], outs: list[Lines], tables: list[Ta
         cell = outs.pop().result()
         if not tables[-1].rows:
             tables[-1].rows.append([])
-        tables[-1].rows[-1].append((cell, max(1, _number(attrs.get("colspan"), 1, 1000))))
+        high = _number(attrs.get("rowspan"), 1, 65_534)
+        # No rows means all that follow.
+        tables[-1].rows[-1].append((cell, max(1, _number(attrs.get("colspan"), 1, 1000)), high or 65_534))
     elif tag == "table":
         above, made = outs.pop().result(), tables.pop().lines()
         outs[-1].add_lines(above)
@@ -439,7 +483,7 @@ def extract_pages(pages: DataFrame, page: str = "html", key: str = "page_id") ->
     """``(page_id, text)`` for every row of ``pages``: the whole visible text.
 
     A null page has a null text, an empty one an empty text. Repeated rows come out as often as they come in; an empty
-    table gives an empty one. Other columns are ignored.
+    table gives an empty one. Other columns are ignored. Pages may be nested to any depth (see ``DEEPEST``).
     """
     rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(page).alias("page"))
     return rows.select("page_id", extract(F.col("page")).alias("text"))

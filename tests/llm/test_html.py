@@ -44,6 +44,13 @@ CASES = {
     "<blockquote><p>q</blockquote>r": "  q\n\nr",
     "<h1>T</h1>x<h2>U</h3>y": "T\n\nx\n\nU\n\ny",
     "<p>é&eacute;&#233;&#xe9;": "éééé",
+    "<table><tr><td rowspan=2>aaaa<td>b<tr><td>c<tr><td>d<td>e</table>": "aaaa  b\n      c\nd     e",
+    "<table><tr><td>a<td rowspan=0 colspan=2>b<td>c<tr><td>d<td>e<tr><td>f<td>g</table>": "a  b   c\nd      e\nf      g",
+    "<div style='visibility:hidden'>no<b style='visibility: visible'>yes<i>too</i></b><br>no</div>end": "yestoo\nend",
+    "<p style='visibility:visible'>a<span style='VISIBILITY:collapse'>no<input type=submit value=no></span>b": "ab",
+    "<span style='display:none'><b style='visibility:visible'>no</b></span>yes": "yes",
+    "<table><tr><td>日本語<td>x<tr><td>ab<td>y</table>": "日本語  x\nab      y",
+    "<table><tr><td>e\u0301e\u0301<td>x<tr><td>abcd<td>y</table>": "e\u0301e\u0301    x\nabcd  y",
 }
 
 
@@ -54,6 +61,10 @@ def test_layout(page):
 
 def test_deep_and_long_pages():
     assert htmltext.to_text("<div>" * 100_000 + "deep") == "deep"
+    for deep in ("<div>" * 600, "<b><i>" * 400, "<div>" * 511, "<div>" * 510):
+        assert htmltext.to_text(f"{deep}<section hidden>NO<div>NO</div>NO<section hidden>NO</section>NO</section>shown<style>no</style>") == "shown"
+        assert htmltext.to_text(f"{deep}<div><svg/>a</div><div style='display:none'>no<div>no</div>no</div>b").replace("\n", "") == "ab"
+    assert htmltext.to_text("<div>" * 600 + "in" + "</div>" * 600 + "<p>a</p>b") == "in\n\na\n\nb"
     assert htmltext.to_text("<b><i>" * 20_000 + "x" + "<a href=\"" * 1000).startswith("x")
     rows = "".join(f"<tr><td>{'y' * (i % 7)}<td>{i}" for i in range(3000))
     assert htmltext.to_text(f"<table>{rows}<tr><td>{'w' * 50_000}<td>end</table>").count("\n") == 3000
