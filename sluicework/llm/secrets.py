@@ -28,6 +28,10 @@ KINDS = ("assign", "access", "hex", "named", "bare", "endpoint")
 LEAST_VALUE = 8
 REACH = 200  # code points between two parts of one credential
 
+# Texts of more bytes are taken apart into rows: arrays are built up and compared within a text, which is quadratic in the
+# number of its spans.
+LONG = 16_384
+
 SPAN = "array<struct<start:int,end:int,rank:int>>"
 
 
@@ -72,16 +76,18 @@ def _slice(text: Column, span: Column) -> Column:
     return F.substring(text, span["start"] + 1, span["end"] - span["start"])
 
 
-def _linked(rows: DataFrame) -> DataFrame:
-    """``(row, extra)``: for rows with ``base`` and ``weak`` spans, the weak ones with their complement within reach.
+def _linked(parts: DataFrame) -> DataFrame:
+    """``(row, extra)``: for rows with parts (``row``, ``start``, ``end``, ``rank``), the weak ones with their complement
+    within reach.
 
     All parts of a text in the order of their starts: the latest end among identifiers that start before, and the
     earliest start among those after, say whether any lies within reach; likewise for secrets. A window over the parts
     of one text therefore does the interval join without making pairs.
     """
-    parts = rows.select("row", F.explode(F.concat("base", "weak")).alias("p")).select("row", "p.*")
-    order = Window.partitionBy("row").orderBy("start", "end", "rank")
-    before, after = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(0, Window.unboundedFollowing)
+    # What follows is what comes before in the opposite order: a frame up to the end would be gone through for each row.
+    of_text, first = Window.partitionBy("row"), (Window.unboundedPreceding, 0)
+    before = of_text.orderBy("start", "end", "rank").rowsBetween(*first)
+    after = of_text.orderBy(F.desc("start"), F.desc("end"), F.desc("rank")).rowsBetween(*first)
 
     def near(*ranks: int) -> Column:
         own = F.col("rank").isin(*ranks)
@@ -95,6 +101,48 @@ def _linked(rows: DataFrame) -> DataFrame:
     return kept.groupBy("row").agg(F.collect_list(F.struct("start", "end", "rank")).alias("extra"))
 
 
+def _parts(rows: DataFrame) -> DataFrame:
+    """``(row, start, end, rank)``: certain spans, and weak ones that no certain span overlaps, of texts (``row``, ``text``).
+
+    The same as ``_base`` and ``_weak`` with a row a match: running sums of lengths give the positions, and the latest end and
+    earliest start of certain spans around a weak one say whether any overlaps it.
+    """
+    patterns = (ASSIGN, ACCESS, HEX, NAMED, BARE, ENDPOINT)
+    found = []
+    for rank, pattern in enumerate(patterns):
+        hits = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
+        values = F.regexp_extract_all("text", F.lit(pattern), F.lit(2)) if rank == 0 else hits
+        zipped = F.arrays_zip(F.slice(F.split("text", pattern, -1), 1, F.size(hits)).alias("gap"), hits.alias("hit"), values.alias("value"))
+        own = rows.filter(F.col("text").rlike(pattern)).select("row", F.lit(rank).alias("rank"), F.posexplode(zipped).alias("i", "part"))
+        sizes = F.length("part.gap").alias("gap"), F.length("part.hit").alias("size"), F.length("part.value").alias("value")
+        mixed = F.col("part.hit").rlike("[0-9]") & F.col("part.hit").rlike("[A-Za-z]")
+        found.append(own.select("row", "rank", "i", *sizes, mixed.alias("mixed")))
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    upto = Window.partitionBy("row", "rank").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.col("gap") + F.col("size")).over(upto).cast("int")
+    placed = every.withColumn("end", end).withColumn("start", F.col("end") - F.col("size"))
+    placed = placed.filter(F.when(F.col("rank") == 0, F.col("value") >= LEAST_VALUE).when(F.col("rank") == 4, F.col("mixed")).otherwise(True))
+    of_text, first, sure = Window.partitionBy("row"), (Window.unboundedPreceding, 0), F.col("rank") < 3
+    latest = F.max(F.when(sure, F.col("end"))).over(of_text.orderBy("start").rangeBetween(*first))
+    earliest = F.min(F.when(sure, F.col("start"))).over(of_text.orderBy(F.desc("start")).rangeBetween(*first))
+    overlapped = F.coalesce(latest > F.col("start"), F.lit(False)) | F.coalesce(earliest < F.col("end"), F.lit(False))
+    return placed.withColumn("gone", ~sure & overlapped).filter("NOT gone").select("row", "start", "end", "rank")
+
+
+def _scan_long(rows: DataFrame, whole: Column) -> DataFrame:
+    """``(doc, base, spans)`` of long texts, with a row a match on the way."""
+    held = stored(rows.select("doc", whole.alias("text"), F.monotonically_increasing_id().alias("row")), "long")
+    parts = stored(_parts(held.select("row", "text")), "long-parts")
+    span = F.struct("start", "end", "rank")
+    base = parts.groupBy("row").agg(F.collect_list(F.when(F.col("rank") < 3, span)).alias("base"))
+    found = held.select("doc", "row").join(base, "row", "left").join(_linked(parts), "row", "left")
+    none = F.array().cast(SPAN)
+    found = found.select("doc", F.array_sort(F.coalesce("base", none), _in_order).alias("base"), F.coalesce("extra", none).alias("extra"))
+    return found.select("doc", "base", F.array_sort(F.concat("base", "extra"), _in_order).alias("spans"))
+
+
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(doc, base, spans)`` for every row of ``docs``: the row as a struct, its certain spans, and all spans.
 
@@ -103,19 +151,23 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     empty table gives an empty one. No column name of ``docs`` can clash.
 
     A weak candidate needs an identifier beside it, so only texts with one are linked; they are written to the shared
-    folder first, which fixes their row numbers. All others are done where they are read.
+    folder first, which fixes their row numbers. All others are done where they are read. Texts of more than ``LONG`` bytes
+    are taken apart into a row a match, so that a text of any number of secrets takes a time in proportion to it.
     """
     whole = F.coalesce(F.col("doc")[text], F.lit(""))
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("doc"))
+    every = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("doc"))
+    rows, long = every.filter(F.octet_length(whole) <= LONG), every.filter(F.octet_length(whole) > LONG)
     identified = whole.contains("AKIA") | whole.rlike(NAMED)
     plain = rows.filter(~identified).select("doc", _base(whole).alias("base"))
     parted = rows.filter(identified).select("doc", _base(whole).alias("base"))
     parted = parted.select("doc", "base", _weak(whole, F.col("base")).alias("weak"), F.monotonically_increasing_id().alias("row"))
     parted = stored(parted, "parted")
-    linked = parted.join(_linked(parted.select("row", "base", "weak")), "row", "left")
+    parts = parted.select("row", F.explode(F.concat("base", "weak")).alias("p")).select("row", "p.*")
+    linked = parted.join(_linked(parts), "row", "left")
     extra = F.coalesce("extra", F.array().cast(SPAN))
     linked = linked.select("doc", "base", F.array_sort(F.concat("base", extra), _in_order).alias("spans"))
-    return plain.select("doc", "base", F.col("base").alias("spans")).unionByName(linked)
+    short = plain.select("doc", "base", F.col("base").alias("spans")).unionByName(linked)
+    return short.unionByName(_scan_long(long, whole))
 
 
 def count_of(spans: Column | str, kind: str) -> Column:

@@ -118,3 +118,20 @@ def test_sql_twin_equals_the_scan(spark, tmp_path):
     got = con.execute(secrets.sql_twin()).fetchall()
     expected = [(r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) for r in QUERIES["op5_secrets"](spark, str(tmp_path)).collect()]
     assert sorted(got) == sorted(expected)
+
+
+def test_long_texts_are_scanned_alike(spark, monkeypatch):
+    """A row a match gives what the arrays of a text give."""
+    monkeypatch.setattr(secrets, "LONG", -1)
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(CASES)], "doc_id long, text string, spans string, base int")
+    got = secrets.scan(docs).select("doc.doc_id", secrets.shown(F.col("base")), secrets.shown(F.col("spans"))).collect()
+    assert sorted(tuple(r) for r in got) == sorted((i, text_of(base(t)), text_of(everything(t))) for i, t in enumerate(CASES))
+
+
+def test_a_dump_of_credentials(spark):
+    """Tens of thousands of secrets in one text: seconds, not hours."""
+    part = f"client_id=a1 {BARE} token=abcdefgh12 x://y "
+    docs = spark.createDataFrame([(0, part * 20_000), (1, part * 300)], "doc_id long, text string")
+    got = {r.doc_id: r for r in secrets.scan(docs).select("doc.doc_id", F.size("base").alias("n"), F.size("spans").alias("all"), secrets.shown(F.col("spans")).alias("s")).collect()}
+    assert (got[0].n, got[0].all) == (20_000, 80_000)
+    assert got[1].s == text_of(everything(part * 300))
