@@ -185,7 +185,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id",
     can be among the results, so only these are indexed; the others are dropped before the shuffle. Regions hold trees
     of a bounded size, however many vectors a region has. Each query starts from the k-th best score in a bounded
     sample, and goes only to the trees that can do better. Repeated rows count once; shorter vectors are filled up with zeros;
-    empty tables give no rows. Other columns are ignored.
+    empty tables give no rows. Other columns are ignored. Where queries are a fixed share of all vectors the work grows with
+    their product, less what the bounds save: much in few dimensions, little in many.
     """
     spark = vectors.sparkSession
     every = stored(whole_numbers(vectors, key, vector), "vectors")

@@ -207,7 +207,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, most: int = 2, seed: int =
     that can be reached over links. Null and empty texts, and texts without words, have the fingerprint 0 and are linked like any
     other. Repeated rows come out as often as they come in. A row without ``doc_id`` keeps its fingerprint and takes
     the component of the rows with an id that have the same one, else null. Other columns are ignored.
-    Exact copies are one row per fingerprint before anything else happens.
+    Exact copies are one row per fingerprint before anything else happens. ``most`` must be even (see ``links``), else it
+    is an error.
     """
     prints = stored(fingerprints(docs, words, seed, text, key), "fingerprints")
     distinct = stored(prints.filter("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct")

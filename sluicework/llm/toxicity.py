@@ -349,7 +349,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
     """``(doc_id, lang, score, threshold, rejected)`` for every row of ``docs``.
 
     Null and empty texts get the score of a text without words. Repeated rows come out as often as they come in.
-    Without labels the score is 0 throughout and nothing is rejected. Other columns are ignored.
+    Without labels the score is 0 throughout and nothing is rejected. ``docs`` must have a column ``lang``, which picks
+    the threshold and is no input of the score; other columns are ignored.
     """
     model = fit(docs, labels, settings)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
