@@ -180,6 +180,8 @@ def resample(
     gain = gains(bucket_counts(docs, buckets, least, most, text), bucket_counts(target, buckets, least, most, "text"))
     rows = weights(docs, gain, least, most, text, key)
     rows = rows.select("*", (F.col("weight") + noise(F.col("doc_id"), seed)).alias("score"), (F.col("n_words") >= least_words).alias("fit"))
+    # Finding the ranges reads the rows once more than dealing them.
+    rows = stored(rows, "weights")
     order = [F.desc("fit"), F.desc("score"), F.asc_nulls_last("doc_id"), F.asc("n_features"), F.asc("weight")]
     ranges = _ranges(rows, order)
     drawn = ranges.filter("fit").count() * percent // 100
