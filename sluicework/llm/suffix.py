@@ -20,6 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluicework.llm.common import small_batches, texts_of
 from sluicework.llm.sais import prefixes_reach, suffix_array, words_at
 
 LENGTH = 50
@@ -301,6 +302,17 @@ def _remove(buckets: int):
     return run
 
 
+def _untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows without an id, which keep all of their text."""
+    for batch in small_batches(batches):
+        texts = texts_of(batch)
+        raws = [t.encode() for t in texts]
+        none = pa.array([0] * len(raws), pa.int64())
+        hashes = pa.array([hashlib.sha256(r).hexdigest() for r in raws])
+        columns = [pa.nulls(len(raws), pa.int64()), pa.array([len(r) for r in raws], pa.int64()), none, none, hashes, pa.array(texts, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+
+
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept)`` for every row of ``docs``.
 
@@ -310,9 +322,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     as they come in; an empty table gives an empty one. Other columns are ignored.
 
     Texts are dealt to chunks of a bounded size by a hash, and this exchange is used three times: to send anchors, to
-    send segments, to apply the answers.
+    send segments, to apply the answers. Rows without an id are not dealt at all.
     """
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    every = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows, nameless = every.filter("doc_id IS NOT NULL"), every.filter("doc_id IS NULL")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = total // CHUNK_BYTES + 1
     buckets = chunks // 2 + 1
@@ -328,4 +341,5 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
         kinds = np.array(news.column("kind").to_pylist(), dtype=np.int64)
         return remove(texts, news.filter(pa.array(kinds == 0)), news.filter(pa.array(kinds == 1)))
 
-    return rows.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(run, OUT)
+    done = rows.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(run, OUT)
+    return done.unionByName(nameless.mapInArrow(_untouched, OUT))
