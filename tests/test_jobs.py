@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sluicework import schemas
 from sluicework.operators import merge
-from sluicework.plans import ingest
+from sluicework.plans import gold, ingest, parts
 from sluicework.plans.silver import to_silver
 from sluicework.sources import mappings, readers
 from sluicework.streaming import jobs
@@ -321,3 +321,18 @@ def test_the_first_row_of_a_key_stays_across_batches(spark, tmp_path):
     got = arrive("2", [("a", 0, "too late"), ("c", 9, "c2"), ("c", 8, "c"), (None, 1, "no key")])
     assert [r for r in got if r[0]] == [("a", 1, "first"), ("b", 5, "b"), ("c", 8, "c")]
     assert [r for r in arrive("3", [("b", 1, "x"), ("d", 1, "d")]) if r[0]] == [("a", 1, "first"), ("b", 5, "b"), ("c", 8, "c"), ("d", 1, "d")]
+
+
+def test_gold_from_parts_equals_gold(spark, landing, tmp_path):
+    store = ingest.Store(str(tmp_path / "store"))
+    assert parts.province_stats(spark, store).count() == 0 and parts.overview_kpis(spark, store).first().total_jobs == 0
+    for run, pages in (("one", 1), ("two", None), ("two", None)):
+        ingest.run_ingest(spark, landing, store, fetched_at=stamp(), max_pages=pages, run=run)
+        parts.add_run(spark, store, run)
+        whole = store.postings(spark)
+        for made, part in (
+            (gold.province_stats(whole), parts.province_stats(spark, store)),
+            (gold.weekly_trends(whole), parts.weekly_trends(spark, store)),
+            (gold.overview_kpis(whole), parts.overview_kpis(spark, store)),
+        ):
+            assert made.columns == part.columns and sorted(made.collect()) == sorted(part.collect())

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from sluicework.operators import merge
 from sluicework.operators.dedup import last_per_key
-from sluicework.plans import ingest
+from sluicework.plans import ingest, parts
 from sluicework.plans.ingest import Store
 from sluicework.session import working_folder
 from sluicework.sources.mappings import sources
 from sluicework.streaming import jobs
-from workload import oracle
+from workload import oracle, q_gold  # noqa: F401
 from workload.q_sources import SILVER_OUT, payload, planted, silver_output
-from workload.registry import query
+from workload.registry import ORACLES, query
 from workload.tables import Tables
 
 
@@ -143,3 +143,28 @@ def run_ingest_events(t: Tables) -> DataFrame:
     """What these runs logged."""
     runs = merge.current_runs(_two_runs(t).run_events(t.spark))
     return runs.select(F.col("run_id").alias("run"), "status", "jobs_fetched", "jobs_new", "jobs_skipped", "jobs_rejected")
+
+
+def _from_parts(t: Tables) -> Store:
+    store = _two_runs(t)
+    for run in ("first", "second"):
+        parts.add_run(t.spark, store, run)
+    return store
+
+
+@query(ORACLES["province_stats"])
+def province_stats_from_parts(t: Tables) -> DataFrame:
+    """Province statistics from the sums that two runs stored."""
+    return parts.province_stats(t.spark, _from_parts(t))
+
+
+@query(ORACLES["weekly_trends"])
+def weekly_trends_from_parts(t: Tables) -> DataFrame:
+    """Postings per week from the counts that two runs stored."""
+    return parts.weekly_trends(t.spark, _from_parts(t)).withColumn("week_start", F.col("week_start").cast("string"))
+
+
+@query(ORACLES["overview_kpis"])
+def overview_kpis_from_parts(t: Tables) -> DataFrame:
+    """Key figures from the counts by company that two runs stored."""
+    return parts.overview_kpis(t.spark, _from_parts(t))
