@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -93,6 +94,17 @@ def _feeds(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+# Stores that a job has filled, per (application, input folder, job): several queries look at one.
+_STORES: dict[tuple[str, str, str], Store] = {}
+
+
+def _store(t: Tables, job: Callable[[Tables], Store]) -> Store:
+    key = (t.spark.sparkContext.applicationId, t.folder, job.__name__)
+    if key not in _STORES:
+        _STORES[key] = job(t)
+    return _STORES[key]
+
+
 def _ingested(t: Tables) -> Store:
     landing = t.stored("landing_feeds", lambda: _feeds(t).repartition(8, "feed", "page"), "text", "feed", "page")
     store = Store(_fresh(t, "store"))
@@ -103,7 +115,7 @@ def _ingested(t: Tables) -> Store:
 @query(f"WITH {oracle.SILVER} SELECT {SILVER_OUT} FROM silver")
 def stream_ingest(t: Tables) -> DataFrame:
     """Landed pages of all four feeds to stored Silver rows, in micro-batches."""
-    return silver_output(_ingested(t).postings(t.spark))
+    return silver_output(_store(t, _ingested).postings(t.spark))
 
 
 _REJECTED = "(SELECT count(*) FROM nation) + (SELECT count(*) FROM region) + (SELECT count(*) FROM supplier)"
@@ -112,7 +124,7 @@ _REJECTED = "(SELECT count(*) FROM nation) + (SELECT count(*) FROM region) + (SE
 @query(f"SELECT count(*) AS jobs_fetched, count(*) AS jobs_new, 0 AS jobs_skipped, {_REJECTED} AS jobs_rejected FROM orders")
 def stream_ingest_counts(t: Tables) -> DataFrame:
     """What the runs of that stream counted, over all micro-batches."""
-    store = _ingested(t)
+    store = _store(t, _ingested)
     runs = merge.current_runs(store.run_events(t.spark)).filter("status = 'success'")
     return runs.agg(*(F.sum(c).alias(c) for c in ("jobs_fetched", "jobs_new", "jobs_skipped", "jobs_rejected")))
 
@@ -130,7 +142,7 @@ def _two_runs(t: Tables) -> Store:
 )
 def run_ingest(t: Tables) -> DataFrame:
     """The incremental job from landed pages to stored postings: some pages in one run, all of them in the next."""
-    rows = _two_runs(t).postings(t.spark)
+    rows = _store(t, _two_runs).postings(t.spark)
     return silver_output(rows, "ingest_run").withColumnRenamed("ingest_run", "run")
 
 
@@ -141,12 +153,12 @@ def run_ingest(t: Tables) -> DataFrame:
 )
 def run_ingest_events(t: Tables) -> DataFrame:
     """What these runs logged."""
-    runs = merge.current_runs(_two_runs(t).run_events(t.spark))
+    runs = merge.current_runs(_store(t, _two_runs).run_events(t.spark))
     return runs.select(F.col("run_id").alias("run"), "status", "jobs_fetched", "jobs_new", "jobs_skipped", "jobs_rejected")
 
 
 def _from_parts(t: Tables) -> Store:
-    store = _two_runs(t)
+    store = _store(t, _two_runs)
     for run in ("first", "second"):
         parts.add_run(t.spark, store, run)
     return store
@@ -155,16 +167,16 @@ def _from_parts(t: Tables) -> Store:
 @query(ORACLES["province_stats"])
 def province_stats_from_parts(t: Tables) -> DataFrame:
     """Province statistics from the sums that two runs stored."""
-    return parts.province_stats(t.spark, _from_parts(t))
+    return parts.province_stats(t.spark, _store(t, _from_parts))
 
 
 @query(ORACLES["weekly_trends"])
 def weekly_trends_from_parts(t: Tables) -> DataFrame:
     """Postings per week from the counts that two runs stored."""
-    return parts.weekly_trends(t.spark, _from_parts(t)).withColumn("week_start", F.col("week_start").cast("string"))
+    return parts.weekly_trends(t.spark, _store(t, _from_parts)).withColumn("week_start", F.col("week_start").cast("string"))
 
 
 @query(ORACLES["overview_kpis"])
 def overview_kpis_from_parts(t: Tables) -> DataFrame:
     """Key figures from the counts by company that two runs stored."""
-    return parts.overview_kpis(t.spark, _from_parts(t))
+    return parts.overview_kpis(t.spark, _store(t, _from_parts))
