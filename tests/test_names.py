@@ -95,3 +95,27 @@ def test_no_names(spark):
     rows = texts_of(spark, ["Toronto, ON", None])
     assert [r.tags for r in names.extract_terms(rows, terms_of(spark, ["x"]).filter("false"), "id", "text").collect()] == [[], []]
     assert [(r.city, r.province) for r in names.locate(rows, cities_of(spark).filter("false"), "id", "text").orderBy("id").collect()] == [(None, "Ontario"), (None, None)]
+
+
+def _stored_texts(spark, tmp_path):
+    path = str(tmp_path / "texts")
+    texts_of(spark, PLACES).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_names_are_sent_to_the_tasks_and_never_the_texts(spark, tmp_path, monkeypatch):
+    rows = _stored_texts(spark, tmp_path)
+    terms, cities = terms_of(spark, lookups.TAXONOMY), cities_of(spark)
+    for found in (names.locate(rows, cities, "id", "text"), names.extract_terms(rows, terms, "id", "text")):
+        assert "Inner, BuildRight" in plan(found) and "Inner, BuildLeft" not in plan(found)
+    few = names.locate(rows, cities, "id", "text").collect()
+    monkeypatch.setattr(names, "SMALL_NAMES", 2)
+    many = names.locate(rows, cities, "id", "text")
+    assert re.search(r"SortMergeJoin \[name#\d+\], \[name#\d+\], Inner", plan(many)) and sorted(map(str, many.collect())) == sorted(map(str, few))
+
+
+def test_a_piece_does_not_carry_its_whole_text(spark):
+    found = names.extract_terms(texts_of(spark, ["a b a c"]), terms_of(spark, ["a b", "a"]), "id", "text")
+    kept = re.findall(r"posexplode\(.*\), \[([^\]]*)\], (?:true|false), \[at", plan(found))
+    assert kept and not any("_pieces" in k for k in kept)
+    assert [r.tags for r in found.collect()] == [["a", "a b"]]
