@@ -16,6 +16,9 @@ from workload.registry import query
 from workload.tables import Tables
 
 S = f"WITH {oracle.SILVER}"
+# What province statistics and company summaries read of Silver.
+_STATS_OF = ("location_state", "salary_min", "is_remote", "seniority")
+_COMPANY_OF = ("company_name", "company_domain", "job_id", "seniority", "is_remote", "salary_min")
 _SENIOR = "seniority IN ('Senior', 'Lead', 'Director+')"
 
 
@@ -57,7 +60,7 @@ _DOMAIN = ", ".join(f"({quote(p)})" for p in lookups.PROVINCE_DOMAIN)
     "d(province) LEFT JOIN stats ON d.province = stats.province"
 )
 def complete_domain(t: Tables) -> DataFrame:
-    return gold.province_map(gold.province_stats(t.silver))
+    return gold.province_map(gold.province_stats(t.silver_of(*_STATS_OF)))
 
 
 _FEATURES = """
@@ -78,7 +81,7 @@ def _whole(x: str) -> str:
 )
 def map_features(t: Tables) -> DataFrame:
     """Display texts joined to named features, accents ignored."""
-    return gold.map_features(t.sql(_FEATURES), gold.province_stats(t.silver))
+    return gold.map_features(t.sql(_FEATURES), gold.province_stats(t.silver_of(*_STATS_OF)))
 
 
 @query(
@@ -101,7 +104,7 @@ _COORDS = ", ".join(f"({quote(c)}, {lat}, {lon})" for c, (lat, lon) in lookups.C
     f"count FROM silver GROUP BY 1) JOIN (VALUES {_COORDS}) c(city, lat, lon) ON location_city = city"
 )
 def city_density(t: Tables) -> DataFrame:
-    return gold.city_density(t.silver).withColumn("radius", F.round("radius", 6))
+    return gold.city_density(t.silver_of("location_city")).withColumn("radius", F.round("radius", 6))
 
 
 _TOP_CITIES = (
@@ -115,12 +118,12 @@ _TOP_CITIES = (
     "FROM top) AND seniority IS NOT NULL GROUP BY 1, 2"
 )
 def top_cities_by_seniority(t: Tables) -> DataFrame:
-    return gold.top_cities_by_seniority(t.silver)
+    return gold.top_cities_by_seniority(t.silver_of("location_city", "seniority"))
 
 
 @query(f"{S}, {_TOP_CITIES} SELECT job_id, location_city FROM silver WHERE location_city IN (SELECT * FROM top)")
 def keep_top_values(t: Tables) -> DataFrame:
-    return joins.keep_top_values(t.silver.select("job_id", "location_city"), "location_city", 10)
+    return joins.keep_top_values(t.silver_of("job_id", "location_city").select("job_id", "location_city"), "location_city", 10)
 
 
 # --- aggregates -----------------------------------------------------------------------------------------------------
@@ -128,7 +131,7 @@ def keep_top_values(t: Tables) -> DataFrame:
 
 @query(f"{S}, {_STATS} SELECT * FROM stats")
 def province_stats(t: Tables) -> DataFrame:
-    return gold.province_stats(t.silver)
+    return gold.province_stats(t.silver_of(*_STATS_OF))
 
 
 @query(f"{S}, {_STATS} SELECT * FROM stats")
@@ -144,7 +147,7 @@ def province_stats_from_bronze(t: Tables) -> DataFrame:
     "AS provinces_active FROM stats"
 )
 def province_totals(t: Tables) -> DataFrame:
-    return gold.province_totals(gold.province_stats(t.silver))
+    return gold.province_totals(gold.province_stats(t.silver_of(*_STATS_OF)))
 
 
 @query(
@@ -152,7 +155,7 @@ def province_totals(t: Tables) -> DataFrame:
     f"{_pct(f'count(*) FILTER (WHERE {_SENIOR})', 'count(seniority)')} AS national_senior FROM silver"
 )
 def national_rates(t: Tables) -> DataFrame:
-    return gold.national_rates(t.silver)
+    return gold.national_rates(t.silver_of("is_remote", "seniority"))
 
 
 _METRICS = {
@@ -172,7 +175,7 @@ _METRICS = {
 )
 def metric_display(t: Tables) -> DataFrame:
     """All metrics of the map, as numbers and as texts."""
-    return gold.metrics_display(gold.province_stats(t.silver))
+    return gold.metrics_display(gold.province_stats(t.silver_of(*_STATS_OF)))
 
 
 _MEDIANS = (
@@ -187,7 +190,7 @@ _MEDIANS = (
     "\"Median Salary\" FROM stats LEFT JOIN medians ON province = location_state"
 )
 def province_table(t: Tables) -> DataFrame:
-    return gold.province_table(t.silver)
+    return gold.province_table(t.silver_of(*_STATS_OF))
 
 
 @query(
@@ -195,7 +198,7 @@ def province_table(t: Tables) -> DataFrame:
     "count(DISTINCT company_name) AS companies, count(salary_min) AS salary_jobs FROM silver"
 )
 def overview_kpis(t: Tables) -> DataFrame:
-    return gold.overview_kpis(t.silver)
+    return gold.overview_kpis(t.silver_of("is_remote", "company_name", "salary_min"))
 
 
 @query(
@@ -204,7 +207,7 @@ def overview_kpis(t: Tables) -> DataFrame:
     " AS salary_pct FROM silver"
 )
 def salary_coverage(t: Tables) -> DataFrame:
-    return gold.salary_coverage(t.silver)
+    return gold.salary_coverage(t.silver_of("salary_min", "salary_period"))
 
 
 _ORDER = " ".join(f"WHEN {quote(s)} THEN {i}" for i, s in enumerate(lookups.SENIORITY_ORDER))
@@ -215,7 +218,7 @@ _ORDER = " ".join(f"WHEN {quote(s)} THEN {i}" for i, s in enumerate(lookups.SENI
     "WHERE seniority IS NOT NULL GROUP BY 1"
 )
 def ordered_seniority(t: Tables) -> DataFrame:
-    return gold.ordered_seniority(t.silver)
+    return gold.ordered_seniority(t.silver_of("seniority"))
 
 
 _PER_COMPANY = (
@@ -227,7 +230,7 @@ _PER_COMPANY = (
 
 @query(f"{S} {_PER_COMPANY} ORDER BY job_count DESC, company_name LIMIT 20")
 def top_companies(t: Tables) -> DataFrame:
-    return gold.top_companies(t.silver).withColumn("avg_salary_min", F.round("avg_salary_min", 4))
+    return gold.top_companies(t.silver_of("job_id", "company_name", "is_remote", "salary_min")).withColumn("avg_salary_min", F.round("avg_salary_min", 4))
 
 
 _SUMMARY = f"""levels AS (
@@ -243,7 +246,7 @@ summary AS (
 
 @query(f"{S}, {_SUMMARY} SELECT * FROM summary")
 def company_summary(t: Tables) -> DataFrame:
-    return gold.company_summary(t.silver)
+    return gold.company_summary(t.silver_of(*_COMPANY_OF))
 
 
 @query(
@@ -252,7 +255,7 @@ def company_summary(t: Tables) -> DataFrame:
     "WHERE regexp_matches(company_name, '(?i)machin')"
 )
 def company_table(t: Tables) -> DataFrame:
-    return gold.company_table(t.silver, "machin")
+    return gold.company_table(t.silver_of(*_COMPANY_OF), "machin")
 
 
 _YEARLY = "FROM silver WHERE salary_min IS NOT NULL AND salary_period = 'YEAR'"
@@ -263,14 +266,14 @@ _YEARLY = "FROM silver WHERE salary_min IS NOT NULL AND salary_period = 'YEAR'"
     "ORDER BY median(salary_min) DESC, title LIMIT 10"
 )
 def top_titles(t: Tables) -> DataFrame:
-    return gold.top_titles(t.silver).withColumn("median_salary", F.round("median_salary", 4))
+    return gold.top_titles(t.silver_of("title", "salary_min", "salary_period")).withColumn("median_salary", F.round("median_salary", 4))
 
 
 @query(
     f"{S} SELECT title, round(median(salary_min), 4) AS median {_YEARLY} AND title IS NOT NULL GROUP BY 1"
 )
 def grouped_median(t: Tables) -> DataFrame:
-    yearly = t.silver.filter("salary_period = 'YEAR'")
+    yearly = t.silver_of("title", "salary_min", "salary_period").filter("salary_period = 'YEAR'")
     return quantiles.grouped_median(yearly, "title", "salary_min").withColumn("median", F.round("median", 4))
 
 
@@ -306,7 +309,7 @@ def _rounded(box: DataFrame) -> DataFrame:
 
 @query(f"{S}, {_box(_YEARLY, 'employment_type', 'salary_min')} SELECT * FROM box")
 def salary_box(t: Tables) -> DataFrame:
-    return _rounded(gold.salary_box(t.silver))
+    return _rounded(gold.salary_box(t.silver_of("employment_type", "salary_min", "salary_period")))
 
 
 @query(f"WITH {_box('FROM orders WHERE o_totalprice IS NOT NULL', 'o_orderpriority', 'o_totalprice')} SELECT * FROM box")
@@ -338,7 +341,7 @@ def _bins(h: DataFrame) -> DataFrame:
 
 @query(f"{S}, {_histogram(_YEARLY, 'salary_min')}")
 def salary_histogram(t: Tables) -> DataFrame:
-    return _bins(gold.salary_histogram(t.silver))
+    return _bins(gold.salary_histogram(t.silver_of("salary_min", "salary_period")))
 
 
 @query(f"WITH {_histogram('FROM lineitem', 'l_extendedprice')}")
@@ -351,7 +354,7 @@ def histogram(t: Tables) -> DataFrame:
     "count(*) FILTER (WHERE is_remote) AS remote_count FROM silver WHERE posted_at IS NOT NULL GROUP BY 1"
 )
 def weekly_trends(t: Tables) -> DataFrame:
-    return gold.weekly_trends(t.silver).withColumn("week_start", F.col("week_start").cast("string"))
+    return gold.weekly_trends(t.silver_of("posted_at", "is_remote")).withColumn("week_start", F.col("week_start").cast("string"))
 
 
 @query(
@@ -371,7 +374,7 @@ def value_counts(t: Tables) -> DataFrame:
 @query(f"{S} SELECT location_city, count(*) AS count FROM silver GROUP BY 1 ORDER BY 2 DESC, 1 NULLS FIRST LIMIT 40")
 def value_counts_with_null(t: Tables) -> DataFrame:
     """Null counts as a value; only the most frequent values."""
-    return aggregates.value_counts(t.silver, "location_city", keep_null=True, n=40)
+    return aggregates.value_counts(t.silver_of("location_city"), "location_city", keep_null=True, n=40)
 
 
 @query("SELECT count(DISTINCT l_partkey) AS n_distinct FROM lineitem")
@@ -384,7 +387,7 @@ def distinct_count(t: Tables) -> DataFrame:
     "AS DOUBLE) AS share FROM silver WHERE location_state IS NOT NULL GROUP BY 1"
 )
 def share_of_total(t: Tables) -> DataFrame:
-    return gold.province_share(t.silver)
+    return gold.province_share(t.silver_of("location_state"))
 
 
 @query("SELECT lang, source, count(*) AS count FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL GROUP BY 1, 2")
@@ -404,12 +407,12 @@ _FREQ = f"""{_TAGGED}, freq AS (
 
 @query(f"{S}, {_FREQ} SELECT * FROM freq")
 def skill_frequency(t: Tables) -> DataFrame:
-    return gold.skill_frequency(t.silver)
+    return gold.skill_frequency(t.silver_of("skills_tags"))
 
 
 @query(f"{S}, {_FREQ} SELECT * FROM freq WHERE category = 'Modeling' ORDER BY count DESC, skill LIMIT 10")
 def top_skills(t: Tables) -> DataFrame:
-    return gold.skill_frequency(t.silver, "Modeling", 10)
+    return gold.skill_frequency(t.silver_of("skills_tags"), "Modeling", 10)
 
 
 @query(
@@ -417,7 +420,7 @@ def top_skills(t: Tables) -> DataFrame:
     "round(pct / max(pct) OVER () * 100, 6) AS width FROM t"
 )
 def skill_bars(t: Tables) -> DataFrame:
-    return gold.skill_bars(t.silver).withColumn("width", F.round("width", 6))
+    return gold.skill_bars(t.silver_of("skills_tags")).withColumn("width", F.round("width", 6))
 
 
 @query(
@@ -427,7 +430,7 @@ def skill_bars(t: Tables) -> DataFrame:
     "format('{:.1f}%', first(pct ORDER BY count DESC, skill)) AS top_pct FROM t"
 )
 def skill_kpis(t: Tables) -> DataFrame:
-    return gold.skill_kpis(t.silver, "Analytics")
+    return gold.skill_kpis(t.silver_of("skills_tags"), "Analytics")
 
 
 @query(
@@ -436,7 +439,7 @@ def skill_kpis(t: Tables) -> DataFrame:
 )
 def filtered_skill_frequency(t: Tables) -> DataFrame:
     """Tags of postings chosen by time, province and level; the percentages refer to those postings."""
-    chosen = gold.skill_selection(t.silver, "Ontario", "Senior", start=datetime(1996, 1, 1))
+    chosen = gold.skill_selection(t.silver_of("skills_tags", "posted_at", "location_state", "seniority"), "Ontario", "Senior", start=datetime(1996, 1, 1))
     return gold.skill_frequency(chosen)
 
 
@@ -448,12 +451,12 @@ def filtered_skill_frequency(t: Tables) -> DataFrame:
 )
 def skills_by_seniority(t: Tables) -> DataFrame:
     """The 15 most frequent tags, as the data has them, by level."""
-    return gold.skills_by_seniority_rows(t.silver)
+    return gold.skills_by_seniority_rows(t.silver_of("skills_tags", "seniority"))
 
 
 @query(f"{S} SELECT job_id, unnest(skills_tags) AS skill FROM silver")
 def explode_tags(t: Tables) -> DataFrame:
-    return t.silver.select("job_id", F.explode("skills_tags").alias("skill"))
+    return t.silver_of("job_id", "skills_tags").select("job_id", F.explode("skills_tags").alias("skill"))
 
 
 @query(
@@ -461,7 +464,7 @@ def explode_tags(t: Tables) -> DataFrame:
     "WHERE seniority IS NOT NULL"
 )
 def pick_list(t: Tables) -> DataFrame:
-    return gold.pick_list(t.silver, "seniority")
+    return gold.pick_list(t.silver_of("seniority"), "seniority")
 
 
 # --- quality profile ------------------------------------------------------------------------------------------------
@@ -498,7 +501,7 @@ _ODD = "regexp_matches(title, '[\\p{S}]|[^\\x00-\\x7F]')"
     + " FROM silver"
 )
 def profile_summary(t: Tables) -> DataFrame:
-    return quality.profile_summary(t.silver)
+    return quality.profile_summary(t.silver_of("location_state", "location_city", "salary_min", "salary_max", "title", "years_experience_min", "skills_tags"))
 
 
 _SOURCE = "CASE WHEN contains(job_id, '_') THEN split_part(job_id, '_', 1) ELSE 'jsearch' END"
@@ -512,12 +515,12 @@ _TABLES = " UNION ALL ".join(
 
 @query(f"{S} {_TABLES}")
 def profile_frequencies(t: Tables) -> DataFrame:
-    return quality.profile_frequencies(t.silver)
+    return quality.profile_frequencies(t.silver_of("job_id", *(f for f in quality.FREQUENCY_FIELDS if f != "source")))
 
 
 @query(f"{S} SELECT {_SOURCE} AS source, count(*) AS count FROM silver GROUP BY 1")
 def source_distribution(t: Tables) -> DataFrame:
-    return quality.source_distribution(t.silver)
+    return quality.source_distribution(t.silver_of("job_id"))
 
 
 @query(
@@ -525,14 +528,14 @@ def source_distribution(t: Tables) -> DataFrame:
     "ORDER BY job_id LIMIT 10"
 )
 def low_pay_rows(t: Tables) -> DataFrame:
-    return quality.low_pay_rows(t.silver)
+    return quality.low_pay_rows(t.silver_of("job_id", "salary_min", "salary_max", "salary_currency"))
 
 
 @query(f"{S} SELECT job_id, title FROM silver WHERE {_ODD} ORDER BY job_id LIMIT 20")
 def odd_titles(t: Tables) -> DataFrame:
-    return quality.odd_titles(t.silver)
+    return quality.odd_titles(t.silver_of("job_id", "title"))
 
 
 @query(f"{S}, {_TAGGED} SELECT skill, count(*) AS count FROM tagged GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 30")
 def top_tags(t: Tables) -> DataFrame:
-    return quality.top_tags(t.silver)
+    return quality.top_tags(t.silver_of("skills_tags"))

@@ -47,17 +47,17 @@ def one_of(t: Tables) -> DataFrame:
 
 @query(f"WITH {oracle.SILVER} SELECT job_id, location_state, salary_min FROM silver WHERE location_state IS NOT NULL AND salary_min IS NOT NULL")
 def known(t: Tables) -> DataFrame:
-    return filters.known(t.silver, "location_state", "salary_min").select("job_id", "location_state", "salary_min")
+    return filters.known(t.silver_of("job_id", "location_state", "salary_min"), "location_state", "salary_min").select("job_id", "location_state", "salary_min")
 
 
 @query(f"WITH {oracle.SILVER} SELECT job_id, salary_min FROM silver WHERE salary_min IS NOT NULL AND salary_period = 'YEAR'")
 def annual_pay(t: Tables) -> DataFrame:
-    return filters.annual_pay(t.silver).select("job_id", "salary_min")
+    return filters.annual_pay(t.silver_of("job_id", "salary_min", "salary_period")).select("job_id", "salary_min")
 
 
 @query(f"WITH {oracle.SILVER} SELECT job_id, company_name FROM silver WHERE regexp_matches(company_name, '(?i)house.*_1\\d')")
 def search(t: Tables) -> DataFrame:
-    return filters.search(t.silver, "company_name", r"house.*_1\d").select("job_id", "company_name")
+    return filters.search(t.silver_of("job_id", "company_name"), "company_name", r"house.*_1\d").select("job_id", "company_name")
 
 
 @query("SELECT c_custkey AS customer, c_name AS name FROM customer")
@@ -234,7 +234,7 @@ def merge_stored(t: Tables) -> DataFrame:
     "WHERE domain NOT IN (SELECT domain FROM companies)"
 )
 def ensure_stubs(t: Tables) -> DataFrame:
-    return merge.ensure_stubs(t.companies, t.silver, "k", now=t.as_of).select("domain", "name", "industry")
+    return merge.ensure_stubs(t.companies, t.silver_of("company_domain", "company_name", "k"), "k", now=t.as_of).select("domain", "name", "industry")
 
 
 _CURATED = """
@@ -254,7 +254,7 @@ _FILLED = f"""filled AS (
 
 def _filled(t: Tables) -> DataFrame:
     columns = ["company_name", "salary_min", "location_city"]
-    return joins.fill_from(t.silver.select("job_id", *columns), t.sql(_CURATED), "job_id", columns)
+    return joins.fill_from(t.silver_of("job_id", *columns), t.sql(_CURATED), "job_id", columns)
 
 
 @query(f"WITH {oracle.SILVER}, {_FILLED} SELECT * FROM filled")
@@ -311,7 +311,7 @@ def key_violations(t: Tables) -> DataFrame:
     "WHERE company_domain IS NOT NULL AND company_domain NOT IN (SELECT domain FROM companies)"
 )
 def orphans(t: Tables) -> DataFrame:
-    rows = t.silver.select("job_id", "company_domain")
+    rows = t.silver_of("job_id", "company_domain")
     return quality.orphans(rows, t.companies, "company_domain", "domain").select("job_id", "company_domain")
 
 
@@ -320,5 +320,5 @@ def orphans(t: Tables) -> DataFrame:
     "FROM companies) THEN company_domain END AS company_domain FROM silver"
 )
 def clear_orphans(t: Tables) -> DataFrame:
-    rows = t.silver.select("job_id", "company_domain")
+    rows = t.silver_of("job_id", "company_domain")
     return quality.clear_orphans(rows, t.companies, "company_domain", "domain")

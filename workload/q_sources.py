@@ -235,12 +235,12 @@ def nested_json(t: Tables) -> DataFrame:
 
 @query(f"WITH {oracle.SILVER} SELECT job_id, {oracle.years('job_description')} AS years FROM silver")
 def extract_years(t: Tables) -> DataFrame:
-    return t.silver.select("job_id", X.extract_years(F.col("job_description")).alias("years"))
+    return t.silver_of("job_id", "job_description").select("job_id", X.extract_years(F.col("job_description")).alias("years"))
 
 
 @query(f"WITH {oracle.SILVER} SELECT job_id, seniority FROM silver")
 def classify_by_rules(t: Tables) -> DataFrame:
-    return t.silver.select(
+    return t.silver_of("job_id", "title", "years_experience_min").select(
         "job_id", X.classify_by_rules(F.col("title"), F.col("years_experience_min")).alias("seniority")
     )
 
@@ -283,12 +283,12 @@ def locate(t: Tables) -> DataFrame:
     """The same from a table of cities."""
     cities = [(c, lookups.city_display(c), p, i) for i, (c, p) in enumerate(lookups.CITY_PROVINCES.items())]
     table = t.spark.createDataFrame(cities, "name string, city string, province string, order int")
-    return names.locate(t.silver, table, "job_id", "job_description")
+    return names.locate(t.silver_of("job_id", "job_description"), table, "job_id", "job_description")
 
 
 @query(_PLACES)
 def infer_location_from_text(t: Tables) -> DataFrame:
-    found = t.silver.select("job_id", X.infer_location_from_text(F.col("job_description")).alias("f"))
+    found = t.silver_of("job_id", "job_description").select("job_id", X.infer_location_from_text(F.col("job_description")).alias("f"))
     return found.select("job_id", "f.city", "f.province")
 
 
@@ -297,7 +297,7 @@ def infer_location_from_text(t: Tables) -> DataFrame:
 )
 def resolve_location(t: Tables) -> DataFrame:
     """Places in fill order: normalised, city's province, text."""
-    rows = t.silver.select(
+    rows = t.silver_of("job_id", "location_city_raw", "location_state_raw", "job_description").select(
         "job_id",
         F.col("location_city_raw").alias("location_city"),
         F.col("location_state_raw").alias("location_state"),
@@ -345,7 +345,7 @@ def parse_posted_at(t: Tables) -> DataFrame:
 @query(f"WITH {oracle.SILVER} SELECT job_id, is_remote FROM silver")
 def infer_flag_from_text(t: Tables) -> DataFrame:
     flag = X.infer_flag_from_text(F.col("is_remote_raw"), F.col("job_description"))
-    return t.silver.select("job_id", flag.alias("is_remote"))
+    return t.silver_of("job_id", "is_remote_raw", "job_description").select("job_id", flag.alias("is_remote"))
 
 
 @query(
@@ -423,7 +423,7 @@ _FALLBACK = ", ".join(
 
 @query(f"WITH {oracle.SILVER} SELECT job_id, {_FALLBACK} FROM silver")
 def bronze_fallback(t: Tables) -> DataFrame:
-    return S.bronze_fallback(t.silver).select("job_id", *schemas.RAW_FIELDS)
+    return S.bronze_fallback(t.silver_of("job_id", *schemas.FIELDS, *schemas.RAW_FIELDS)).select("job_id", *schemas.RAW_FIELDS)
 
 
 _COMPARED = ["title", "location_city", "salary_min", "is_remote"]
@@ -435,4 +435,4 @@ _COMPARED = ["title", "location_city", "salary_min", "is_remote"]
     + " FROM silver"
 )
 def raw_against_silver(t: Tables) -> DataFrame:
-    return filters.raw_against_silver(t.silver, _COMPARED)
+    return filters.raw_against_silver(t.silver_of("job_id", *_COMPARED, *(f"{f}_raw" for f in _COMPARED)), _COMPARED)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,10 @@ NAMES = (
     "conversations"
 ).split()
 
+# Pages of landed texts are some dozens of folders. A sort by folder would take a task's whole share of the text into memory.
+OPEN_TEXTS = 256
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
 # Stored Silver per (application, input folder): Gold reads a table, as it would in production.
 _STORED: dict[tuple[str, str, str], str] = {}
 
@@ -59,17 +64,39 @@ class Tables:
     def companies(self) -> DataFrame:
         return self.sql(derive.COMPANIES)
 
+    @contextmanager
+    def _open_files(self, most: int):
+        """Tasks write up to so many files side by side; beyond that, or with 0, each first sorts its rows by their folder."""
+        before = self.spark.conf.get(_WRITERS)
+        self.spark.conf.set(_WRITERS, most)
+        try:
+            yield
+        finally:
+            self.spark.conf.set(_WRITERS, before)
+
     def stored(self, name: str, build, form: str = "parquet", *partitions: str) -> str:
         """Path of an intermediate table, written once per application to the shared working folder."""
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in _STORED:
             folder = working_folder(self.spark)
-            unique = f"{name}-{uuid.uuid4().hex}"
+            unique = f"{name[:60]}-{uuid.uuid4().hex}"
             path = f"{folder}/{key[0]}/{unique}"
-            build().write.partitionBy(*partitions).format(form).save(path)
+            with self._open_files(OPEN_TEXTS if form == "text" else 0):
+                build().write.partitionBy(*partitions).format(form).save(path)
             _STORED[key] = path
         return _STORED[key]
 
+    def silver_of(self, *columns: str) -> DataFrame:
+        """Silver with these columns only, stored once; what makes the others is not computed. A stored table that has them
+        is read."""
+        wanted = sorted(set(columns))
+        for (application, folder, name), path in _STORED.items():
+            if (application, folder) == (self.spark.sparkContext.applicationId, self.folder):
+                if name == "silver" or (name.startswith("silver.") and set(wanted) <= set(name.split(".")[1:])):
+                    return self.spark.read.parquet(path).select(*wanted)
+        path = self.stored(".".join(["silver", *wanted]), lambda: to_silver(self.bronze, self.as_of).select(*wanted))
+        return self.spark.read.parquet(path)
+
     @cached_property
     def silver(self) -> DataFrame:
         path = self.stored("silver", lambda: to_silver(self.bronze, self.as_of))
