@@ -8,17 +8,22 @@ since. ``stop_pages`` applies the same rules to envelopes that are already a tab
 
 from __future__ import annotations
 
+import io
 import json
 import re
 from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
+# A task takes crawls up to this number or size, one at least, and hands lines on in batches of this size, one line at least.
 CRAWLS_A_TASK = 32
+TASK_BYTES = 32 << 20
+BATCH_BYTES = 4 << 20
 RULES = ("empty", "total", "token")
 PAGES_DDL = "crawl string, page int, value string"
 
@@ -49,38 +54,44 @@ class _Rules:
         self.total = options.get("total", "total")
         self.token = options.get("token", "next_page_token")
         self.max_pages = int(options["maxpages"]) if "maxpages" in options else None
+        self.sizes: dict[str, int] = {}
 
     def _where(self) -> tuple[fs.FileSystem, str]:
         return fs.FileSystem.from_uri(self.path) if re.match(r"\w+:", self.path) else (fs.LocalFileSystem(), self.path)
 
     def listed(self) -> list[tuple[str, list[tuple[int, list[str]]]]]:
-        """Crawls by name, each with its pages by number and the files of a page by name. Files are not opened."""
+        """Crawls by name, each with its pages by number and the files of a page by name; ``sizes`` gets the bytes of each
+        crawl. Files are not opened."""
         where, root = self._where()
+        self.sizes = {}
         found: dict[str, dict[int, list[str]]] = {}
         for entry in where.get_file_info(fs.FileSelector(root, recursive=True)):
             place = re.fullmatch(r"/crawl=([^/]+)/page=(\d+)/[^/._][^/]*", entry.path[len(root) :])
             if place and entry.is_file:
                 found.setdefault(place[1], {}).setdefault(int(place[2]), []).append(entry.path)
+                self.sizes[place[1]] = self.sizes.get(place[1], 0) + (entry.size or 0)
         return [(crawl, [(page, sorted(files)) for page, files in sorted(pages.items())]) for crawl, pages in sorted(found.items())]
 
     def _lines(self, files: list[str]) -> Iterator[str]:
         where, _ = self._where()
         for file in files:
             with where.open_input_stream(file) as stream:
-                yield from filter(str.strip, stream.read().decode("utf-8", "replace").splitlines())
+                for raw in io.BufferedReader(stream, 1 << 20):
+                    yield from filter(str.strip, raw.decode("utf-8", "replace").splitlines())
 
     def taken(self, pages: list[tuple[int, list[str]]]) -> Iterator[tuple[int, str]]:
         """``(page, line)`` of a crawl up to its end: a missing page, the allowed number of pages, or the rule's stop.
 
         A line that is no JSON object counts as an envelope without records and is passed on, so that it can be rejected.
+        Lines are held back only up to the page's first record.
         """
         fetched = 0
         for place, (page, files) in enumerate(pages):
             if page != pages[0][0] + place or (self.max_pages is not None and place >= self.max_pages):
                 return
             sent, total, token = 0, 0, None
-            lines = list(self._lines(files))
-            for line in lines:
+            held: list[str] = []
+            for line in self._lines(files):
                 try:
                     envelope = json.loads(line)
                 except ValueError:
@@ -89,9 +100,13 @@ class _Rules:
                 sent += len(records) if isinstance(records, list) else 0
                 total = max(total, _whole(_member(envelope, self.total)))
                 token = _member(envelope, self.token) or token
+                del envelope, records
+                held.append(line)
+                if sent:
+                    yield from ((page, line) for line in held)
+                    held.clear()
             if not sent:
                 return
-            yield from ((page, line) for line in lines)
             fetched += sent
             if (self.stop == "total" and fetched >= total) or (self.stop == "token" and not token):
                 return
@@ -102,16 +117,39 @@ def _whole(value: object) -> int:
 
 
 def _dealt(rules: _Rules, after: int, until: int) -> list[_Crawls]:
-    crawls = rules.listed()
+    parts: list[list] = [[]]
+    taken = 0
+    for crawl in rules.listed():
+        size = rules.sizes[crawl[0]]
+        if parts[-1] and (len(parts[-1]) == CRAWLS_A_TASK or taken + size > TASK_BYTES):
+            parts.append([])
+            taken = 0
+        parts[-1].append(crawl)
+        taken += size
     # Spark asks for one task at least.
-    return [_Crawls(crawls[i : i + CRAWLS_A_TASK], after, until) for i in range(0, max(1, len(crawls)), CRAWLS_A_TASK)]
+    return [_Crawls(part, after, until) for part in parts]
 
 
-def _read(rules: _Rules, part: _Crawls) -> Iterator[tuple[str, int, str]]:
+def _batch(rows: list[tuple[str, int, str]]) -> pa.RecordBatch:
+    crawl, page, value = zip(*rows)
+    arrays = [pa.array(crawl, pa.string()), pa.array(page, pa.int32()), pa.array(value, pa.string())]
+    return pa.RecordBatch.from_arrays(arrays, ["crawl", "page", "value"])
+
+
+def _read(rules: _Rules, part: _Crawls) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of bounded size: Spark would gather rows by their number, however long their lines are."""
+    rows: list[tuple[str, int, str]] = []
+    size = 0
     for crawl, pages in part.crawls:
         for page, line in rules.taken([p for p in pages if p[0] <= part.until]):
             if page > part.after:
-                yield crawl, page, line
+                rows.append((crawl, page, line))
+                size += len(line)
+                if size >= BATCH_BYTES:
+                    yield _batch(rows)
+                    rows, size = [], 0
+    if rows:
+        yield _batch(rows)
 
 
 LAST_PAGE = (1 << 31) - 1
@@ -124,7 +162,7 @@ class _Reader(DataSourceReader):
     def partitions(self) -> list[_Crawls]:
         return _dealt(self._rules, -1, LAST_PAGE)
 
-    def read(self, partition: _Crawls) -> Iterator[tuple[str, int, str]]:
+    def read(self, partition: _Crawls) -> Iterator[pa.RecordBatch]:
         return _read(self._rules, partition)
 
 
@@ -141,7 +179,7 @@ class _StreamReader(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> list[_Crawls]:
         return _dealt(self._rules, start["page"], end["page"])
 
-    def read(self, partition: _Crawls) -> Iterator[tuple[str, int, str]]:
+    def read(self, partition: _Crawls) -> Iterator[pa.RecordBatch]:
         return _read(self._rules, partition)
 
 

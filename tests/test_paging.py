@@ -98,3 +98,17 @@ def test_odd_envelopes(spark, tmp_path):
     assert paging.read_crawls(spark, str(tmp_path / "crawl=a"), "data").count() == 0
     with pytest.raises(Exception, match="stop must be one of"):
         paging.read_crawls(spark, str(tmp_path), "data", "never").collect()
+
+
+def test_long_lines_go_on_in_small_batches_and_large_crawls_are_dealt_out(tmp_path, monkeypatch):
+    for crawl in ("a", "b", "c"):
+        for page in (1, 2):
+            (tmp_path / f"crawl={crawl}" / f"page={page}").mkdir(parents=True)
+            (tmp_path / f"crawl={crawl}" / f"page={page}" / "part").write_text(json.dumps({"data": ["x" * 100]}) + "\n")
+    rules = paging._Rules({"path": str(tmp_path)})
+    monkeypatch.setattr(paging, "TASK_BYTES", 300)
+    monkeypatch.setattr(paging, "BATCH_BYTES", 100)
+    parts = paging._dealt(rules, -1, paging.LAST_PAGE)
+    assert [[crawl for crawl, _ in part.crawls] for part in parts] == [["a"], ["b"], ["c"]]
+    batches = [b for part in parts for b in paging._read(rules, part)]
+    assert [b.num_rows for b in batches] == [1] * 6 and [b["crawl"][0].as_py() for b in batches] == list("aabbcc")
