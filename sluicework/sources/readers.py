@@ -50,12 +50,11 @@ def rejects_of(lines: DataFrame, source: Source) -> DataFrame:
     array = next(f.name for f in StructType.fromDDL(source.page_ddl) if isinstance(f.dataType, ArrayType))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     lines = lines.filter(F.trim("value") != "")
-    read = F.from_json("value", f"{source.page_ddl}, _corrupt string", options).alias("e")
-    lines = lines.select(F.col("page").cast("int").alias("page"), "value", read)
-    broken, records = F.col("e._corrupt").isNotNull(), F.col(f"e.{array}")
+    lines = lines.select(F.col("page").cast("int").alias("page"), F.col("value").alias("_line"), _parsed(f"{source.page_ddl}, _corrupt string", options))
+    broken, records = F.col("_corrupt").isNotNull(), F.col(array)
     reason = F.when(broken, "broken line").otherwise("no records")
-    texts = lines.filter(broken | records.isNull()).select("page", reason.alias("reason"), F.col("value").alias("text"), F.lit(1).cast("long").alias("records"))
-    whole = lines.filter(~broken & records.isNotNull()).select("page", "e.*").drop("_corrupt")
+    texts = lines.filter(broken | records.isNull()).select("page", reason.alias("reason"), F.col("_line").alias("text"), F.lit(1).cast("long").alias("records"))
+    whole = lines.filter(~broken & records.isNotNull()).drop("_line", "_corrupt")
     sent = whole.groupBy("page").agg(F.sum(F.size(array)).alias("sent"))
     taken = source.mapping(whole).groupBy("page").agg(F.count(F.lit(1)).alias("taken"))
     lost = sent.join(taken, "page", "left").select("page", (F.col("sent") - F.coalesce("taken", F.lit(0))).alias("records"))
@@ -63,9 +62,15 @@ def rejects_of(lines: DataFrame, source: Source) -> DataFrame:
     return texts.unionByName(lost).select(F.lit(source.name).alias("source"), "page", "reason", "text", "records")
 
 
+def _parsed(ddl: str, options: Mapping[str, str] | None = None) -> Column:
+    """Columns of the envelope in ``value``. As a generator it runs once a line: what is asked of a plain column is asked
+    below it too, each time with a parse of its own."""
+    return F.inline(F.array(F.from_json("value", ddl, dict(options or {}))))
+
+
 def pages_of(lines: DataFrame, source: Source) -> DataFrame:
     """Envelopes of lines (``page``, ``value``) that are read already, as ``read_pages`` gives them."""
-    return lines.select("page", F.from_json("value", source.page_ddl).alias("e")).select("page", "e.*")
+    return lines.select("page", _parsed(source.page_ddl))
 
 
 def limit_pages(pages: DataFrame, max_pages: int | None) -> DataFrame:

@@ -336,3 +336,16 @@ def test_gold_from_parts_equals_gold(spark, landing, tmp_path):
             (gold.overview_kpis(whole), parts.overview_kpis(spark, store)),
         ):
             assert made.columns == part.columns and sorted(made.collect()) == sorted(part.collect())
+
+
+def test_a_line_is_parsed_once_for_its_records_and_once_for_each_kind_of_reject(spark):
+    lines = spark.createDataFrame([(1, '{"data": [{"id": "1"}, {"job_title": "x"}]}'), (1, '{"data": [{"id"'), (2, "{}")], "page int, value string")
+    source = mappings.sources()["theirstack"]
+
+    def parses(rows):
+        return rows._jdf.queryExecution().optimizedPlan().toString().count("from_json(")
+
+    rows, left = source.mapping(readers.pages_of(lines, source)), readers.rejects_of(lines, source)
+    assert [r.job_id for r in rows.collect()] == ["theirstack_1"]
+    assert sorted((r.page, r.reason, r.records) for r in left.collect()) == [(1, "broken line", 1), (1, "no id", 1), (2, "no records", 1)]
+    assert (parses(rows), parses(left)) == (1, 3)
