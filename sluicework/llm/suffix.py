@@ -27,6 +27,7 @@ LENGTH = 50
 GRAM = 16
 WINDOW = LENGTH - GRAM + 1
 CHUNK_BYTES = 4_000_000  # of texts handled at once: some 300 MB of memory
+BLOCK = 1 << 15  # windows handled at once
 PLACE = np.uint64(0xFFFFFFFF)
 # Segments are written with UTF-8 bytes moved up by two, so that 1 can end a segment and 0 the text.
 SHIFT, SEPARATOR, END = 2, 1, 0
@@ -64,6 +65,32 @@ def _mixed(words: np.ndarray) -> np.ndarray:
     return h
 
 
+def _least(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash at each place, and for each window of places the one with the smallest hash: of equal ones, the leftmost.
+
+    Windows are taken a block at a time, whose arrays stay in the processor's cache.
+    """
+    hashes = np.empty(len(data), dtype=np.uint64)
+    place = np.empty(len(data) - WINDOW + 1, dtype=np.int64)
+    # Grams that begin near the end of the data go on with zeros.
+    padded = np.concatenate([data, np.zeros(16, np.uint8)])
+    for start in range(0, len(place), BLOCK):
+        end = min(start + BLOCK, len(place)) + WINDOW - 1
+        own = _mixed(words_at(padded[start : end + 16])[:-8])
+        hashes[start:end] = own
+        # Upper half of the hash, with its place in the lower half.
+        own &= ~PLACE
+        own |= np.arange(start, end, dtype=np.uint64)
+        span = 1
+        while span * 2 <= WINDOW:
+            own = np.minimum(own[:-span], own[span:])
+            span *= 2
+        if span < WINDOW:
+            own = np.minimum(own[: len(own) - (WINDOW - span)], own[WINDOW - span :])
+        place[start : start + len(own)] = own & PLACE
+    return hashes, place
+
+
 def chunk_of(rows: list[tuple[int | None, str | None]]) -> Chunk:
     """Read the documents of a chunk. Documents without an id take no part: they have no strings here."""
     named = sorted((i, (t or "").encode()) for i, t in rows if i is not None)
@@ -75,26 +102,17 @@ def chunk_of(rows: list[tuple[int | None, str | None]]) -> Chunk:
     none = np.zeros(0, dtype=np.int64)
     if len(data) < LENGTH:
         return Chunk(ids, texts, starts, data, none, none, none.astype(np.uint64), none)
-    hashes = _mixed(words_at(np.concatenate([data, np.zeros(8, np.uint8)])))[: len(data)]
-    # Smallest hash in each window, with its place in the lower half: of equal ones, the leftmost.
-    least = (hashes & ~PLACE) | np.arange(len(data), dtype=np.uint64)
-    span = 1
-    while span * 2 <= WINDOW:
-        least = np.minimum(least[:-span], least[span:])
-        span *= 2
-    if span < WINDOW:
-        least = np.minimum(least[: len(least) - (WINDOW - span)], least[WINDOW - span :])
-    place = (least & PLACE).astype(np.int64)
-    doc_of = np.repeat(np.arange(len(texts)), np.maximum(sizes - LENGTH + 1, 0) * (np.arange(len(texts)) < len(named)))
-    begins = np.concatenate([[0], np.cumsum(np.maximum(sizes - LENGTH + 1, 0)[: len(named)])])[:-1]
-    at = np.arange(len(doc_of)) - begins[doc_of] + starts[doc_of] if len(doc_of) else none
-    if not len(at):
-        return Chunk(ids, texts, starts, data, none, none, none.astype(np.uint64), none)
-    anchors = place[at]
-    cut = np.flatnonzero((anchors[1:] != anchors[:-1]) | (doc_of[1:] != doc_of[:-1])) + 1
-    runs = np.concatenate([[0], cut])
-    count = np.diff(np.concatenate([runs, [len(at)]]))
-    return Chunk(ids, texts, starts, data, at[runs], count, hashes[anchors[runs]], doc_of[runs])
+    hashes, place = _least(data)
+    # No string starts at the last places of a document, so runs of different documents never touch.
+    for start, end in zip(starts[: len(named)].tolist(), starts[1:].tolist()):
+        place[max(start, end - LENGTH + 1) : end] = -1
+    place[starts[len(named)] :] = -1
+    heads = np.concatenate([[0], np.flatnonzero(place[1:] != place[:-1]) + 1])
+    count = np.diff(heads, append=len(place))
+    anchors = place[heads]
+    runs = anchors >= 0
+    first = heads[runs]
+    return Chunk(ids, texts, starts, data, first, count[runs], hashes[anchors[runs]], np.searchsorted(starts, first, "right") - 1)
 
 
 def _bucket(anchor: np.ndarray, buckets: int) -> np.ndarray:

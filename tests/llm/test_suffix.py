@@ -96,3 +96,23 @@ def test_equal_segments_of_a_chunk_carry_the_smallest_id():
     segments, which, low, _ = suffix._segments(chunk, np.ones(len(chunk.first), dtype=bool))
     docs = [chunk.ids[d] for d in chunk.doc]
     assert low.tolist() == [min(d for d, w in zip(docs, which.tolist()) if w == k) for k in range(len(segments))]
+
+
+def test_windows_are_taken_a_block_at_a_time(monkeypatch):
+    random = np.random.default_rng(9)
+    data = random.integers(97, 100, 700).astype(np.uint8)
+    padded = np.concatenate([data, np.zeros(16, np.uint8)])
+    plain = suffix._mixed(sais.words_at(padded)[:-8])
+    upper, size = plain & ~suffix.PLACE, suffix.WINDOW
+    expected = [p + int(np.argmin(upper[p : p + size])) for p in range(len(data) - size + 1)]
+    longest, minimum = [], np.minimum
+    monkeypatch.setattr(suffix, "BLOCK", 64, raising=False)
+    monkeypatch.setattr(suffix.np, "minimum", lambda a, b: longest.append(len(a)) or minimum(a, b))
+    texts = [data[:300].tobytes().decode(), "", "short", data[300:].tobytes().decode(), "a" * 49]
+    chunk = suffix.chunk_of(list(enumerate(texts)))
+    assert max(longest) < 64 + size
+    ends = chunk.starts[chunk.doc + 1]
+    assert all(chunk.first + chunk.count + suffix.LENGTH - 1 <= ends)
+    assert chunk.count.sum() == sum(max(len(t) - suffix.LENGTH + 1, 0) for t in texts)
+    hashes, places = suffix._least(data)
+    assert hashes.tolist() == plain.tolist() and places.tolist() == expected
