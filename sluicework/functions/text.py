@@ -215,14 +215,27 @@ def strip_accents(c: Column) -> Column:
 
 
 def extract_years(
-    text: Column, patterns: Sequence[str] = tuple(lookups.YEARS_PATTERNS), guard: str | None = "(?i)year"
+    text: Column,
+    patterns: Sequence[str] = tuple(lookups.YEARS_PATTERNS),
+    guard: str | None = "(?i)year",
+    words: Sequence[str] | None = None,
 ) -> Column:
     """Number captured by the first pattern that matches; null when none does.
 
-    ``guard`` is a cheap test that every matching text passes; it saves running all patterns on all texts.
+    ``guard`` is a cheap test that every matching text passes; it saves running all patterns on all texts. ``words`` has
+    a lower-case word for each pattern that every ASCII text it matches holds ('' for none), to the same end; those of
+    the default patterns are known.
     """
-    hits = [F.regexp_extract(text, f"(?iU){p}", 1).try_cast("int") for p in patterns]
-    found = F.coalesce(*hits)
+    if words is None:
+        words = lookups.YEARS_WORDS if tuple(patterns) == tuple(lookups.YEARS_PATTERNS) else [""] * len(patterns)
+    low, other = F.lower(text), F.octet_length(text) != F.char_length(text)
+
+    def hit(pattern: str, word: str) -> Column:
+        number = F.regexp_extract(text, f"(?iU){pattern}", 1).try_cast("int")
+        # Beyond ASCII, other characters may count as the same letter.
+        return F.when(low.contains(word) | other, number) if word else number
+
+    found = F.coalesce(*(hit(p, w) for p, w in zip(patterns, words, strict=True)))
     return F.when(text.rlike(guard), found) if guard else found
 
 
@@ -250,50 +263,21 @@ def infer_flag_from_text(flag: Column, text: Column, words: Sequence[str] = tupl
 
 
 def _alternation(terms: Sequence[str]) -> str:
-    return "|".join(re.escape(t) for t in terms)
-
-
-def _words(term: str) -> list[str]:
-    return re.findall(r"\w+|\W", term)
-
-
-def _may_overlap(terms: Sequence[str]) -> bool:
-    """Whether a text could hold two of the terms sharing a word: one inside another, or end to start."""
-    split = [_words(t) for t in terms]
-    heads = {tuple(w[:i]) for w in split for i in range(1, len(w) + 1)}
-    whole = {tuple(w) for w in split}
-    for w in split:
-        for i in range(len(w)):
-            if i and tuple(w[i:]) in heads:
-                return True
-            for j in range(i + 1, len(w) + 1):
-                if (i, j) != (0, len(w)) and tuple(w[i:j]) in whole:
-                    return True
-    return False
+    """Pattern of the first term, in their order, that stands at a place. Those with the same first character are put
+    together, so that most places are passed over by one comparison for each such character."""
+    groups: dict[str, list[str]] = {}
+    for term in terms:
+        groups.setdefault(term[:1], []).append(re.escape(term[1:]))
+    if "" in groups:
+        return "|".join(re.escape(t) for t in terms)
+    return "|".join(f"{re.escape(first)}(?:{'|'.join(rests)})" for first, rests in groups.items())
 
 
 def extract_tags(text: Column, taxonomy: Sequence[str] = tuple(lookups.TAXONOMY)) -> Column:
-    """Sorted unique lower-case terms of the taxonomy found as whole words; an empty array for null text.
-
-    The terms are those that one scan with the alternation of the taxonomy would give. Where no two terms can overlap,
-    the same result is found faster: single words by intersecting the text's words with the terms, the other terms by
-    a much shorter alternation.
-    """
-    low = F.lower(text)
-    words = [t for t in taxonomy if re.fullmatch(r"\w+", t)]
-    phrases = [t for t in taxonomy if t not in set(words)]
-
-    def scan(terms: Sequence[str]) -> Column:
-        return F.array_distinct(F.regexp_extract_all(low, F.lit(rf"(?U)\b({_alternation(terms)})\b"), F.lit(1)))
-
-    lower_case = all(t == t.lower() for t in taxonomy)
-    if not words or not lower_case or len(set(taxonomy)) != len(taxonomy) or _may_overlap(taxonomy):
-        found = scan([t.lower() for t in taxonomy])
-    else:
-        found = F.array_intersect(F.split(low, r"(?U)\W+"), literal_array(words))
-        if phrases:
-            found = F.concat(found, scan(phrases))
-    return F.coalesce(F.array_sort(found), F.array().cast("array<string>"))
+    """Sorted unique lower-case terms of the taxonomy found as whole words by one scan; an empty array for null text."""
+    terms = [t.lower() for t in taxonomy]
+    found = F.regexp_extract_all(F.lower(text), F.lit(rf"(?U)\b({_alternation(terms)})\b"), F.lit(1))
+    return F.coalesce(F.array_sort(F.array_distinct(found)), F.array().cast("array<string>"))
 
 
 def province_alone(text: Column, codes: Mapping[str, str] = lookups.PROVINCE_CODES) -> Column:

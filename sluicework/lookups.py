@@ -247,6 +247,8 @@ YEARS_PATTERNS: list[str] = [
     r"at\s+least\s+(\d+)\s+years?",
     r"(\d+)\+?\s+years?\s+(?:of\s+)?(?:industry\s+)?experience",
 ]
+# A word in every ASCII text that the pattern matches.
+YEARS_WORDS: list[str] = ["experience", "experience", "minimum", "least", "experience"]
 
 # --- fixed values: pay ----------------------------------------------------------------------------------------------
 HOURS_PER_YEAR = 2080

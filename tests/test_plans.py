@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from sluicework.operators import dedup, filters, merge, quantiles
 from sluicework.plans import gold
 from sluicework.plans.silver import to_silver
-from workload import q_gold, q_merge, q_paging, q_sources, q_stream  # noqa: F401
+from workload import q_gold, q_merge, q_paging, q_sources, q_stream, tables  # noqa: F401
 from workload.registry import QUERIES
 from workload.tables import Tables
 
@@ -94,3 +95,12 @@ def test_a_small_batch_does_not_shuffle_the_target(t):
     assert sorted(small.collect()) == sorted(dedup.filter_new(batch, t.orders, "o_orderkey").collect())
     large = dedup.filter_new(batch, t.orders, "o_orderkey", rows=dedup.SMALL_BATCH + 1)
     assert "LeftSemi" not in plan(large)
+
+
+def test_the_wide_view_joins_a_stored_company_table_and_stores_no_silver(spark, tmp_path):
+    folder = shutil.copytree(FOLDER, tmp_path / "own").as_posix()
+    rows = QUERIES["jobs_enriched"](spark, folder)
+    assert {name for _, at, name in tables._STORED if at == folder} == {"companies"}
+    text = plan(rows)
+    # The companies are made before; nothing of the postings is dealt out by their domain.
+    assert "HashAggregate" not in text and "_probe" not in "".join(re.findall(r"Exchange hashpartitioning[^\n]*", text))

@@ -158,3 +158,20 @@ def test_odd_characters_and_flags(apply):
         lambda c: X.infer_flag_from_text(F.lit(None).cast("boolean"), c), ["Remote role", "WORK FROM HOME", "office", None]
     )
     assert flags == [True, True, False, False]
+
+
+def test_years_patterns_run_only_on_texts_with_their_words(spark):
+    rows = [("Minimum of 4 YEARS",), ("m\u0131n\u0131mum of 5 years",), ("at lea\u017ft 6 years",), ("AT LEAST 7 years",), ("8 years here",)]
+    df = spark.createDataFrame(rows, "v string").select(X.extract_years(F.col("v")).alias("n"))
+    assert [r.n for r in df.collect()] == [4, 5, 6, 7, None]
+    assert df._jdf.queryExecution().analyzed().toString().count("Contains(lower(v") == len(lookups.YEARS_PATTERNS)
+
+
+def test_terms_are_put_together_by_their_first_character(apply):
+    terms = ["spark", "sql", "r", "spark streaming", "a/b", "\u00e9t\u00e9"]
+    pattern = X._alternation(terms)
+    assert pattern.count("s(?:") == 1 and len(re.findall(r"\|(?=[^|]*\(\?:)", pattern)) == 3
+    rng = random.Random(3)
+    texts = [rng.choice([" ", ""]).join(rng.choices([*terms, "x", "-"], k=8)) for _ in range(80)]
+    plain = re.compile(r"\b(" + "|".join(map(re.escape, terms)) + r")\b")
+    assert apply(lambda c: X.extract_tags(c, terms), texts) == [sorted(set(plain.findall(t))) for t in texts]

@@ -47,7 +47,7 @@ _JOB_COLUMNS = ["job_id", *schemas.FIELDS[:-1], "years_experience_min", "seniori
 )
 def jobs_enriched(t: Tables) -> DataFrame:
     """The whole wide view: working, derived and raw columns, and the company's."""
-    rows = gold.jobs_enriched(t.silver, t.companies)
+    rows = gold.jobs_enriched(t.silver_once, t.companies_on_file)
     tags, posted = F.array_join("skills_tags", "|"), F.date_format("posted_at", "yyyy-MM-dd HH:mm:ss")
     return rows.withColumns({"skills_tags": tags, "posted_at": posted})
 

@@ -97,6 +97,18 @@ class Tables:
         path = self.stored(".".join(["silver", *wanted]), lambda: to_silver(self.bronze, self.as_of).select(*wanted))
         return self.spark.read.parquet(path)
 
+    @property
+    def silver_once(self) -> DataFrame:
+        """Silver for a query that reads all of it once: what is stored already, else made while it is read."""
+        if (self.spark.sparkContext.applicationId, self.folder, "silver") in _STORED:
+            return self.silver
+        return to_silver(self.bronze, self.as_of)
+
+    @cached_property
+    def companies_on_file(self) -> DataFrame:
+        """Companies as a stored table, whose size Spark knows when it plans a join."""
+        return self.spark.read.parquet(self.stored("companies", lambda: self.companies))
+
     @cached_property
     def silver(self) -> DataFrame:
         path = self.stored("silver", lambda: to_silver(self.bronze, self.as_of))
