@@ -104,3 +104,10 @@ def test_the_wide_view_joins_a_stored_company_table_and_stores_no_silver(spark,
     text = plan(rows)
     # The companies are made before; nothing of the postings is dealt out by their domain.
     assert "HashAggregate" not in text and "_probe" not in "".join(re.findall(r"Exchange hashpartitioning[^\n]*", text))
+
+
+def test_stored_rows_that_are_made_again_are_stored_without_derived_columns(spark, tmp_path):
+    folder = shutil.copytree(FOLDER, tmp_path / "own").as_posix()
+    QUERIES["backfill_silver"](spark, folder)
+    stored = next(path for (_, at, _), path in tables._STORED.items() if at == folder)
+    assert not {"skills_tags", "seniority", "years_experience_min"} & set(spark.read.parquet(stored).columns)

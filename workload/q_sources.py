@@ -411,7 +411,8 @@ def to_silver(t: Tables) -> DataFrame:
 @query(f"WITH {oracle.SILVER} SELECT {SILVER_OUT} FROM silver")
 def backfill_silver(t: Tables) -> DataFrame:
     """Stored rows transformed again: Bronze fallback, then Silver with the same instant gives the same rows."""
-    return silver_output(S.to_silver(S.bronze_fallback(t.silver), t.as_of))
+    stored = t.silver_of("job_id", *schemas.FIELDS, *schemas.RAW_FIELDS)
+    return silver_output(S.to_silver(S.bronze_fallback(stored), t.as_of))
 
 
 _FALLBACK = ", ".join(
